@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from loomgraph.llm import bpe_codec, token_records, wordpiece_counts
 from loomgraph.llm.near_dedup import NearDup, near_duplicates
 
 
@@ -16,6 +19,19 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), NearDup(shingle=3, num=85, den=100))
 
 
-QUERIES = {"op1_minhash_near_dedup": op1_minhash_near_dedup}
+def op2_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_records.write_records(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_records.read_records(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_codec.digests(bpe_codec.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+def op7_wordpiece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_token_records, op6_bpe_codec, op7_wordpiece_counts)}
 
 SQL: dict[str, str] = {}
