@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm import bpe_codec, token_records, wordpiece_counts
+from loomgraph.llm import bpe_codec, token_records, winnowing, wordpiece_counts
 from loomgraph.llm.near_dedup import NearDup, near_duplicates
 
 
@@ -32,6 +32,10 @@ def op7_wordpiece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_token_records, op6_bpe_codec, op7_wordpiece_counts)}
+def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.verdicts(winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_token_records, op6_bpe_codec, op7_wordpiece_counts, op10_winnowing)}
 
 SQL: dict[str, str] = {}
