@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm import bpe_codec, token_records, winnowing, wordpiece_counts
+from loomgraph.llm import bpe_codec, quality_divergence, stratified_shards, token_records, winnowing, wordpiece_counts
 from loomgraph.llm.near_dedup import NearDup, near_duplicates
 
 
@@ -24,6 +24,14 @@ def op2_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.read_records(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_divergence.quality(table(spark, sf_dir, "documents"))
+
+
+def op5_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stratified_shards.interleaved_shards(table(spark, sf_dir, "documents"), shards=40)
+
+
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(bpe_codec.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
@@ -36,6 +44,6 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.verdicts(winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_token_records, op6_bpe_codec, op7_wordpiece_counts, op10_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_token_records, op4_quality_divergence, op5_stratified_shards, op6_bpe_codec, op7_wordpiece_counts, op10_winnowing)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_quality_divergence": quality_divergence.oracle(), "op5_stratified_shards": stratified_shards.oracle()}
