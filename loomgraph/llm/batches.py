@@ -1,4 +1,4 @@
-"""Arrow batch size for whole texts."""
+"""What the operators that run Python over whole texts share: the Arrow batch size and bounded memos."""
 
 from __future__ import annotations
 
@@ -14,3 +14,23 @@ def small_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
+
+
+class Memo(dict):
+    """Results of ``make`` by word, in two generations of ``most`` words: the older one is dropped, so that memory is
+    bounded and frequent words stay. Words over 64 characters are not kept. One memo lives as long as its Python worker."""
+
+    def __init__(self, make, most: int = 250_000):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, word):
+        value = self.old.get(word)
+        if value is None:
+            value = self.make(word)
+        if len(word) <= 64:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[word] = value
+        return value

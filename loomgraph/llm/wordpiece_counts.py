@@ -9,14 +9,13 @@ pieces in linear time, without building a piece.
 from __future__ import annotations
 
 from collections import deque
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.batches import small_batches
-
-_MEMO_WORDS = 400_000
+from loomgraph.llm.batches import Memo, small_batches
 
 
 class Automaton:
@@ -73,6 +72,13 @@ def piece_sets(model_file: str) -> tuple[set[str], set[str]]:
     return {p[1:] for p in own if p[0] == "▁" and len(p) > 1}, {p for p in own if p[0] != "▁"}
 
 
+@lru_cache(maxsize=1)
+def memo_of(model_file: str) -> Memo:
+    """Piece counts by word in UTF-8."""
+    automaton = Automaton(*piece_sets(model_file))
+    return Memo(lambda word: automaton.count(word.decode()))
+
+
 def token_counts(docs: DataFrame, model_file: str) -> DataFrame:
     """doc_id, n_words, n_tokens, n_unknown for each row of docs (doc_id, text).
 
@@ -82,15 +88,11 @@ def token_counts(docs: DataFrame, model_file: str) -> DataFrame:
     """
 
     def run(batches):
-        automaton, memo = Automaton(*piece_sets(model_file)), {}
+        memo = memo_of(model_file)
         for b in batches:
             rows = []
             for text in b.column(1).to_pylist():
                 words = (text or b"").split()
-                if len(memo) > _MEMO_WORDS:
-                    memo.clear()
-                for w in set(words) - memo.keys():
-                    memo[w] = automaton.count(w.decode())
                 counts = list(map(memo.__getitem__, words))
                 unknown = counts.count(0)
                 rows.append((len(words), sum(counts) + unknown, unknown))
