@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -21,9 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.batches import small_batches
-
-_MEMO_WORDS, _MEMO_CHARS = 250_000, 64
+from loomgraph.llm.batches import Memo, small_batches
 
 
 def byte_letters() -> list[str]:
@@ -33,18 +32,6 @@ def byte_letters() -> list[str]:
     return [chr(b if b in own else next(rest)) for b in range(256)]
 
 
-class _Memo(dict):
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, word):
-        out = self.make(word)
-        if len(word) <= _MEMO_CHARS:
-            self[word] = out
-        return out
-
-
 class WordBpe:
     """A codec for files with a Split pattern, byte letters and an end-of-word suffix."""
 
@@ -67,7 +54,7 @@ class WordBpe:
         self.strings = [b""] * (max([*self.vocab.values(), *self.added.values()]) + 1)
         for s, i in [*self.vocab.items(), *self.added.items()]:
             self.strings[i] = s.encode()
-        self.memo = _Memo(self.word)
+        self.memo = Memo(self.word)
 
     def word(self, word: str) -> bytes:
         """The ids of one word, as little-endian unsigned 32-bit integers."""
@@ -105,14 +92,17 @@ class WordBpe:
                 # str.lower() turns a final capital sigma by its neighbours; character by character it does not
                 part = part.lower() if "Σ" not in part else "".join(map(str.lower, part))
                 out.append(b"".join(map(self.memo.__getitem__, self.pattern.findall(part))))
-        if len(self.memo) > _MEMO_WORDS:
-            self.memo.clear()
         return b"".join(out)
 
     def decode(self, ids: bytes) -> bytes:
         return b" ".join(map(self.strings.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+@lru_cache(maxsize=1)
+def codec_of(path: str) -> WordBpe:
+    return WordBpe(path)
+
+
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids (little-endian unsigned 32-bit integers), decoded text; one row per row of docs (doc_id, text).
 
@@ -121,7 +111,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """
 
     def run(batches):
-        codec = WordBpe(path)
+        codec = codec_of(path)
         for b in batches:
             ids = [codec.encode(t or "") for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary()), pa.array([codec.decode(x).decode() for x in ids], pa.string())], names=["doc_id", "ids", "decoded"])

@@ -15,10 +15,12 @@ Files are named by attempt; only those in the manifest count, so a task that is
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +30,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.batches import TEXT_ROWS, small_batches
+from loomgraph.llm.batches import TEXT_ROWS, Memo, small_batches
+from loomgraph.llm.bpe_codec import byte_letters
 from loomgraph.plans.scratch import folder, stored
 
 MAGIC, VERSION = b"LGTR", 1
-_MEMO_WORDS = 250_000
 #: The word pattern of byte-level BPE files whose ByteLevel pre-tokenizer uses its own pattern (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -59,8 +61,8 @@ def unframe(data: bytes, at: int) -> tuple[bytes, int]:
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library. The library encodes each different word once; texts with an added
-    token or with characters beyond Latin, for which Unicode versions may differ, go to it whole."""
+    """Ids of whole texts by the tokenizers library, whose model encodes each different word once; texts with an added
+    token or with characters beyond Latin, for which Unicode versions may differ, go to the library whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -69,23 +71,38 @@ class Encoder:
         self.lib = Tokenizer.from_file(path)
         self.lib.no_padding()
         self.lib.no_truncation()
+        self.model = self.lib.model
         self.dtype = "<u2" if self.lib.get_vocab_size(with_added_tokens=True) <= 65536 else "<u4"
-        self.words, self.beyond = regex.compile(PATTERN), regex.compile("[^\\x00-˿]")
+        self.words, self.beyond = re.compile(_latin(PATTERN)), re.compile("[^\\x00-\u02ff]")
         self.added = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}
+        self.letters = str.maketrans(dict(enumerate(byte_letters())))
+        self.memo = Memo(self.word)
 
-    def _packed(self, encodings) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in encodings]
+    def word(self, word: str) -> bytes:
+        return self._packed(t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters)))
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        memo = self.memo
-        if len(memo) > _MEMO_WORDS:
-            memo.clear()
-        cut = [None if self.beyond.search(t) or any(a in t for a in self.added) else self.words.findall(t) for t in texts]
-        new = list(set().union(*(c for c in cut if c)) - memo.keys())
-        memo.update(zip(new, self._packed(self.lib.encode_batch_fast(new, add_special_tokens=False))))
-        whole = iter(self._packed(self.lib.encode_batch_fast([t for t, c in zip(texts, cut) if c is None], add_special_tokens=False)))
-        return [next(whole) if c is None else b"".join(map(memo.__getitem__, c)) for c in cut]
+    def _packed(self, ids) -> bytes:
+        return np.array([*ids], self.dtype).tobytes()
+
+    def __call__(self, text: str) -> bytes:
+        if self.beyond.search(text) or any(a in text for a in self.added):
+            return self._packed(self.lib.encode(text, add_special_tokens=False).ids)
+        return b"".join(map(self.memo.__getitem__, self.words.findall(text)))
+
+
+def _latin(pattern: str) -> str:
+    """The pattern for texts of characters up to U+02FF, its classes spelled out: the standard library's regular
+    expressions know no categories, but are faster."""
+    span = "".join(map(chr, range(0x300)))
+    listed = {c: "".join(map(re.escape, regex.findall(c, span))) for c in (r"\p{L}", r"\p{N}", r"\s")}
+    listed[r"\S"] = "".join(map(re.escape, regex.findall(r"\S", span)))
+    inside = re.sub(r"\[\^([^\]]*)\]", lambda m: "[^" + "".join(listed[c] for c in re.findall(r"\\p\{.\}|\\s", m[1])) + "]", pattern)
+    return re.sub(r"\\p\{[LN]\}|\\[sS](?=[+)])", lambda m: f"[{listed[m[0]]}]", inside)
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    return Encoder(path)
 
 
 @dataclass(frozen=True)
@@ -108,7 +125,7 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int, path: str | None
     order = ["doc_id", "tie"]
 
     def run(batches):
-        encode, out, index, at, n_docs, n_tokens = Encoder(tokenizer), None, [], 8, 0, 0
+        encode, out, index, at, n_docs, n_tokens = encoder_of(tokenizer), None, [], 8, 0, 0
         store, base = fs.FileSystem.from_uri(path)
         width = np.dtype(encode.dtype).itemsize
         end, part = np.array([end_id], encode.dtype).tobytes(), TaskContext.get().partitionId()
@@ -120,7 +137,8 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int, path: str | None
                     store.create_dir(base, recursive=True)
                     out = store.open_output_stream(f"{name}.rec", buffer_size=1 << 20)
                     out.write(MAGIC + bytes([VERSION, width, 0, 0]))
-                for doc_id, ids in zip(some.column(0).to_pylist(), encode([t or "" for t in some.column(1).to_pylist()])):
+                for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                    ids = encode(text or "")
                     data = frame(struct.pack("<qB", doc_id or 0, doc_id is None) + ids + end)
                     out.write(data)
                     index.append(at)
