@@ -17,6 +17,7 @@ expanded, which is exact: a pair inside one component cannot change the componen
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 from math import comb
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomgraph.llm.batches import small_batches
+from loomgraph.llm.batches import Memo, small_batches
 from loomgraph.operators.components import connected_components
 from loomgraph.plans.scratch import cut, stored
 
@@ -50,23 +51,17 @@ class NearDup:
         return max(1, s)
 
 
-_MEMO_WORDS = 400_000
-
-
 class Shingler:
-    """Sorted distinct 64-bit shingle hashes of texts; word hashes are memoised up to a bounded number of words."""
+    """Sorted distinct 64-bit shingle hashes of texts."""
 
     def __init__(self, width: int):
-        self.width, self.memo = width, {}
+        self.width, self.memo = width, Memo(xxhash.xxh3_64_intdigest)
 
     def __call__(self, text: bytes | None) -> np.ndarray:
         words = (text or b"").lower().split()  # bytes: lower() takes A-Z only, split() takes \x20 \x09-\x0D only
         if not words:
             return np.empty(0, np.int64)
-        memo, h = self.memo, xxhash.xxh3_64_intdigest
-        if len(memo) > _MEMO_WORDS:
-            memo.clear()
-        ids = np.array([memo[w] if w in memo else memo.setdefault(w, h(w)) for w in words], np.uint64)
+        ids = np.fromiter(map(self.memo.__getitem__, words), np.uint64, len(words))
         width = min(self.width, len(ids))
         out = np.full(len(ids) - width + 1, width, np.uint64)
         for i in range(width):
@@ -74,6 +69,11 @@ class Shingler:
         return np.unique(out.view(np.int64))
 
 
+@lru_cache(maxsize=2)
+def shingler(width: int) -> Shingler:
+    return Shingler(width)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: shifts and odd multipliers."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -84,7 +84,7 @@ def sketches(docs: DataFrame, p: NearDup) -> DataFrame:
     """doc_id, n_shingles, fp (128-bit digest of the whole set; null if empty), sketch (k smallest hashes)."""
 
     def run(batches):
-        make = Shingler(p.shingle)
+        make = shingler(p.shingle)
         for b in batches:
             sets = [make(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -107,7 +107,7 @@ def full_sets(docs: DataFrame, p: NearDup) -> DataFrame:
     """rep, full (the sorted hashes of the whole shingle set, as bytes)."""
 
     def run(batches):
-        make = Shingler(p.shingle)
+        make = shingler(p.shingle)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([make(t).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["rep", "full"])
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.batches import small_batches
+from loomgraph.llm.batches import Memo, small_batches
 
-_MEMO_WORDS = 400_000
 #: Lower-cases A-Z and turns every byte that is no word byte (words: digits, letters, all bytes from \x80 on) into a space.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -44,17 +44,14 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_TABLE).split()
 
 
-class _Hashes:
-    """64-bit word hashes, memoised up to a bounded number of words."""
+@lru_cache(maxsize=1)
+def _memo() -> Memo:
+    return Memo(xxhash.xxh3_64_intdigest)
 
-    def __init__(self):
-        self.memo: dict[bytes, int] = {}
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        memo, h = self.memo, xxhash.xxh3_64_intdigest
-        if len(memo) > _MEMO_WORDS:
-            memo.clear()
-        return np.array([memo[w] if w in memo else memo.setdefault(w, h(w)) for w in words], np.uint64)
+def hashed(words: list[bytes]) -> np.ndarray:
+    """64-bit word hashes."""
+    return np.fromiter(map(_memo().__getitem__, words), np.uint64, len(words))
 
 
 def grams(ids: np.ndarray, k: int) -> np.ndarray:
@@ -82,11 +79,11 @@ class Block:
     """The fingerprints of some items: by k-gram length, sorted hashes and the places (item, position) of each."""
 
     def __init__(self, items: list[tuple], p: Winnow):
-        self.p, hashes, found = p, _Hashes(), defaultdict(list)
+        self.p, found = p, defaultdict(list)
         self.names, self.words = [i for i, _ in items], [words_of(t) for _, t in items]
         for n, words in enumerate(self.words):
             if words:
-                ids, k = hashes(words), p.k if len(words) >= p.span else len(words)
+                ids, k = hashed(words), p.k if len(words) >= p.span else len(words)
                 g = grams(ids, k)
                 at = kept(g, p.window) if len(words) >= p.span else np.arange(len(g))
                 # lengths of items below the span have a table of their own, as their k-grams are not winnowed
@@ -154,12 +151,12 @@ def contamination(docs: DataFrame, items: DataFrame, params: Winnow = Winnow())
         shared = spark.sparkContext.broadcast(rows)
 
         def run(batches, shared=shared):
-            block, hashes = Block(shared.value, params), _Hashes()
+            block = Block(shared.value, params)
             for b in batches:
                 n_words, ends, names = [], [], []
                 for text, was, had in zip(*(b.column(i).to_pylist() for i in (1, 3, 4))):
                     words = words_of(text)
-                    spans, found = block.hits(words, hashes(words)) if words else ([], set())
+                    spans, found = block.hits(words, hashed(words)) if words else ([], set())
                     n_words.append(len(words))
                     ends.append(merged([*zip(was[::2], was[1::2]), *spans]) if spans else was)
                     names.append(sorted({*had, *(block.names[n] for n in found)}) if found else had)

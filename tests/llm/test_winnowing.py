@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from loomgraph.llm.winnowing import Block, Winnow, contamination, verdicts, words_of
+from loomgraph.llm.winnowing import Block, Winnow, contamination, hashed, verdicts, words_of
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -66,6 +66,4 @@ def test_every_span_of_eight_is_found():
         block = Block([(0, b" ".join(y))], p)
         at = rng.randint(0, 12)
         x = [b"q"] * rng.randint(0, 9) + y[at : at + 8] + [b"r"] * rng.randint(0, 9)
-        from loomgraph.llm.winnowing import _Hashes
-
-        assert block.hits(x, _Hashes()(x))[1] == {0}
+        assert block.hits(x, hashed(x))[1] == {0}
