@@ -52,9 +52,9 @@ def features(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     d = docs.withColumn("_t", text).withColumn("_w", F.array_remove(F.split("_t", SPACE), ""))
     lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    d = d.withColumn("_lines", lines).withColumn("_h", F.transform("_w", lambda w: F.xxhash64(w)))
+    d = d.withColumn("_lines", lines)
     n = F.size("_w")
-    d = d.withColumn("_g", F.when(n >= 8, F.transform(F.sequence(F.lit(1), n - 7), lambda i: F.xxhash64(F.slice("_h", i, 8)))))
+    d = d.withColumn("_g", F.when(n >= 8, F.transform(F.sequence(F.lit(1), n - 7), lambda i: F.xxhash64(F.slice("_w", i, 8)))))
     d = d.withColumn("_twice", F.size(F.array_distinct("_g")) < F.size("_g"))
     d = d.withColumn("_s", F.when(F.col("_twice"), F.array_sort(F.transform("_g", lambda g, i: F.struct(g.alias("g"), i.alias("i"))))))
     same = lambda x, j: F.coalesce(F.get("_s", j)["g"] == x["g"], F.lit(False))
@@ -88,8 +88,9 @@ def features(docs: DataFrame) -> DataFrame:
 
 def references(feats: DataFrame, p: Divergence = Divergence()) -> DataFrame:
     """lang, ref_chars, ref_common: one row at most for each language that has a word list."""
-    total = lambda c, n: F.array(*(F.sum(F.col(c)[i]) for i in range(n))).alias(f"ref_{c}")
-    sums = feats.where(F.col("lang").isin(*COMMON) & ~F.col("base_failed")).groupBy("lang").agg(total("chars", len(CLASSES) + 1), total("common", K + 1))
+    # conditional sums, not a filter: pushed down, that would be spelled out inside the features' lambdas
+    total = lambda c, n: F.array(*(F.coalesce(F.sum(F.when(~F.col("base_failed"), F.col(c)[i])), F.lit(0)) for i in range(n))).alias(f"ref_{c}")
+    sums = feats.where(F.col("lang").isin(*COMMON)).groupBy("lang").agg(total("chars", len(CLASSES) + 1), total("common", K + 1))
     return sums.where(_sum(F.col("ref_common")) >= p.least_reference)
 
 
@@ -131,7 +132,8 @@ def quality(docs: DataFrame, params: Divergence = Divergence()) -> DataFrame:
 def passing(docs: DataFrame, params: Divergence = Divergence()) -> DataFrame:
     """The rows of docs that are kept, with docs' columns only. Reads docs twice instead of shuffling texts."""
     refs = references(features(docs.select("text", "lang")), params)
-    return judged(features(docs.select(F.struct("*").alias("_row"), "text", "lang")), refs, params).where("kept").select("_row.*")
+    met = judged(features(docs.select(F.struct("*").alias("_row"), "text", "lang")), refs, params)
+    return met.select(F.inline(F.when(F.col("kept"), F.array("_row"))))  # no filter, for the same reason
 
 
 def oracle(p: Divergence = Divergence()) -> str:
