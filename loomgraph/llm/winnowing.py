@@ -136,8 +136,9 @@ def blocks(items: DataFrame, p: Winnow) -> list[list[tuple]]:
     return [[(r.item_id, bytes(r.text)) for r in rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == i).collect()] for i in range(n)]
 
 
-def contamination(docs: DataFrame, items: DataFrame, params: Winnow = Winnow()) -> DataFrame:
-    """doc_id, n_words, spans (from, to word positions, merged), items (ids as sorted strings) for each row of docs.
+def contamination(docs: DataFrame, items: DataFrame, params: Winnow = Winnow(), keep_rows: bool = False) -> DataFrame:
+    """doc_id, n_words, ends (from, to word positions of merged spans), items (ids as sorted strings) for each row of
+    docs; with keep_rows also row, all columns of docs.
 
     A null text has no words. Null item texts or ids and items without words match nothing; an item_id that comes more
     than once counts once. Repeated documents are handled alone; extra columns are not read; with an empty table of
@@ -146,7 +147,8 @@ def contamination(docs: DataFrame, items: DataFrame, params: Winnow = Winnow())
     spark = docs.sparkSession
     small_batches(spark)
     state = "array<int>"
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast(state).alias("ends"), F.array().cast("array<string>").alias("items"))
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast(state).alias("ends"), F.array().cast("array<string>").alias("items"), *[F.struct("*").alias("row")] * keep_rows)
+    carried = f", row {out.schema['row'].dataType.simpleString()}" if keep_rows else ""
     for rows in blocks(items, params):
         shared = spark.sparkContext.broadcast(rows)
 
@@ -161,9 +163,9 @@ def contamination(docs: DataFrame, items: DataFrame, params: Winnow = Winnow())
                     ends.append(merged([*zip(was[::2], was[1::2]), *spans]) if spans else was)
                     names.append(sorted({*had, *(block.names[n] for n in found)}) if found else had)
                 arrays = [b.column(0), b.column(1), pa.array(n_words, pa.int64()), pa.array(ends, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "text", "n_words", "ends", "items"])
+                yield pa.RecordBatch.from_arrays([*arrays, *b.columns[5:]], names=["doc_id", "text", "n_words", "ends", "items", *b.schema.names[5:]])
 
-        out = out.mapInArrow(run, f"doc_id long, text binary, n_words long, ends {state}, items array<string>")
+        out = out.mapInArrow(run, f"doc_id long, text binary, n_words long, ends {state}, items array<string>{carried}")
     return out.drop("text")
 
 
