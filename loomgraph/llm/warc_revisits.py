@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loomgraph.plans.scratch import stored
+
 #: Records of one time slice over all URLs, about: what one task orders if they all have one URL.
 SLICE_ROWS = 20_000
 #: Response headers that a not-modified response must not replace (message framing, content, hop-by-hop).
@@ -60,6 +62,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     rows = records.select(
         "record_id", canonical_url(F.col("url")).alias("url_key"), F.col("ts").cast("long").alias("ts"), "kind", F.col("status").cast("int").alias("status"), F.coalesce("headers", empty).alias("headers"), "digest"
     )
+    rows = stored(rows, "warc-records")  # narrow: five branches read it
     revisits = rows.where("kind = 'revisit'").select("record_id", "url_key", "ts", "headers", "digest")
     full = rows.where("kind = 'response' and status = 200 and record_id is not null and url_key is not null and ts is not null and not map_contains_key(headers, 'content-range')")
     span = rows.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.count("*").alias("n")).first()
@@ -73,9 +76,9 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     passed = ends.select("url_key", "slice", F.max("last").over(before).alias("passed"))
     within = Window.partitionBy("url_key", "slice").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
     found = events.withColumn("near", F.max(F.when(F.col("base"), last)).over(within)).where("not base").join(passed, ["url_key", "slice"]).select("record_id", "url_key", "ts", F.coalesce("near", "passed").alias("b"))
-    stored = full.groupBy("record_id").agg(F.max_by(F.struct("headers", "digest"), F.struct(F.coalesce("digest", F.lit("")), "ts")).alias("s"))
+    bases = full.groupBy("record_id").agg(F.max_by(F.struct("headers", "digest"), F.struct(F.coalesce("digest", F.lit("")), "ts")).alias("s"))
     named = revisits.join(found, ["record_id", "url_key", "ts"], "left").withColumn("base_id", F.col("b.record_id"))
-    met = named.join(stored.withColumnRenamed("record_id", "base_id"), "base_id", "left")
+    met = named.join(bases.withColumnRenamed("record_id", "base_id"), "base_id", "left")
     had, new = F.col("s.headers"), F.col("headers")
     pairs = [(_entity(had["etag"]), _entity(new["etag"])), (F.trim(had["last-modified"]), F.trim(new["last-modified"])), (F.col("s.digest"), F.col("digest"))]
     same = [a == b for a, b in pairs]
