@@ -74,11 +74,11 @@ bytes as (select *, lower(hex(encode(coalesce(text, '')))) as x from documents),
 d as (
   select doc_id, (octet_length(encode(coalesce(text, ''))) + 16)::BIGINT as size,
     xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, (2 * i + 1)::BIGINT, 2))::BIGINT)),
-      lambda c, b: xor(c >> 8, t[xor(c, b) & 255 + 1]))) as text_crc32,
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) as text_crc32,
     coalesce('s' || source, '') as stratum,
     ('0x' || substr(md5('{seed}:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT as h
   from bytes, tab),
 r as (select *, (2 * (row_number() over (partition by stratum order by h, doc_id, size, text_crc32) - 1) + 1)::DOUBLE / (2 * count(*) over (partition by stratum))::DOUBLE as frac from d),
 o as (select *, row_number() over (order by frac, h, stratum, doc_id, size, text_crc32) - 1 as pos, count(*) over () as n from r)
-select doc_id, size, text_crc32, 'rows' as law, (pos * {shards} // n)::INTEGER as shard, (at - ((pos * {shards} // n) * n + {shards - 1}) // {shards})::BIGINT as slot, null::INTEGER as grown_shard
+select doc_id, size, text_crc32, 'rows' as law, (pos * {shards} // n)::INTEGER as shard, (pos - ((pos * {shards} // n) * n + {shards - 1}) // {shards})::BIGINT as slot, null::INTEGER as grown_shard
 from o"""
