@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.plans.scratch import cut
+from loomgraph.plans.scratch import cut, release
 
 
 def _digest(edges: DataFrame) -> tuple:
@@ -43,5 +43,6 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v", ma
         if after == before:
             break
         before = after
+    release(edges.sparkSession)
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.join(roots, "node", "left").select("node", F.coalesce("component", "node").alias("component"))

@@ -6,6 +6,7 @@ Only where that is unset (tests, a laptop) a folder of our own is used.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -47,3 +48,10 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Frees the shuffle files and checkpoints of plans that nothing refers to any more. Spark does so only when the
+    driver happens to collect its garbage, which in a long chain of small jobs may be never."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
