@@ -6,9 +6,11 @@ Only where that is unset (tests, a laptop) a folder of our own is used.
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,3 +57,16 @@ def release(spark: SparkSession) -> None:
     driver happens to collect its garbage, which in a long chain of small jobs may be never."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+@contextlib.contextmanager
+def short_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Inside, a query's shuffle files go when the query has ended. Chains of jobs that cut their lineage by tables and
+    checkpoints never read them again; where a plan is run a second time, Spark computes them anew."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if was is None else spark.conf.set(key, was)
