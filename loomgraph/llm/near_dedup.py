@@ -9,9 +9,17 @@
    together that lie in both.
 4. Survivors are verified by the exact Jaccard similarity of the full shingle sets.
 
-Lists that hold large groups of near copies are not expanded into all pairs. Two rounds compare each member with one
-pivot per list; components are contracted; then only pairs of members that still lie in different components are
-expanded, which is exact: a pair inside one component cannot change the components.
+Lists that hold large groups of near copies are not expanded into all pairs. Each list has a hub, its most central
+member, and every member is compared with the hubs of its lists, members still apart also with the next most central
+ones; components are contracted. What is left are pairs of
+different components, and they are found exactly, without going through the group again:
+
+* Let C be a hub's set and what half of its members have beside it. Two members x, y that share c hashes outside C have
+  at most min(i_x, i_y) + c in common, where i is what each has in common with C; this holds for any C. If it is not
+  enough without c, they share a residual hash: lists of residual hashes, first with hubs of their own, then in full,
+  give these pairs. Edits of one copy are rare among the others, so these lists are short.
+* If the sizes alone would be enough, pairs of (size, overlap) classes that are enough are expanded.
+* Members of one list with different hubs: those outside the list's dominant hub are paired with the list.
 """
 
 from __future__ import annotations
@@ -29,7 +37,7 @@ from pyspark.sql.window import Window
 
 from loomgraph.llm.batches import Memo, small_batches
 from loomgraph.operators.components import connected_components
-from loomgraph.plans.scratch import cut, stored
+from loomgraph.plans.scratch import cut, release, stored
 
 
 @dataclass(frozen=True)
@@ -41,7 +49,7 @@ class NearDup:
     den: int = 100
     k: int = 64
     miss: float = 1e-10
-    pivot_rounds: int = 2
+    more_hubs: int = 2
 
     def shared(self) -> int:
         """The largest s with P(Binomial(k, num/den) < s) <= miss."""
@@ -65,7 +73,7 @@ class Shingler:
         width = min(self.width, len(ids))
         out = np.full(len(ids) - width + 1, width, np.uint64)
         for i in range(width):
-            out = _mixed(out * np.uint64(0x9E3779B97F4A7C15) + ids[i : len(ids) - width + 1 + i])
+            out = _stirred(out * np.uint64(0x9E3779B97F4A7C15) + ids[i : len(ids) - width + 1 + i])
         return np.unique(out.view(np.int64))
 
 
@@ -74,7 +82,7 @@ def shingler(width: int) -> Shingler:
     return Shingler(width)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def _stirred(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: shifts and odd multipliers."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(29))
@@ -122,47 +130,85 @@ def _prefix_length(p: NearDup, n: Column) -> Column:
 
 
 def rare_lists(nodes: DataFrame, p: NearDup) -> DataFrame:
-    """(v, rep): inverted lists of the rarest retained values, of values that two classes or more retain."""
+    """(v, rep, score): inverted lists of the rarest retained values, of values that two classes or more retain. The score
+    of a class is the mean number of classes that retain a value of its sketch: near copies of one text have the highest
+    where they have the fewest edits."""
     retained = nodes.select("rep", "n", F.explode("sketch").alias("v"))
     counts = retained.groupBy("v").agg(F.count("*").alias("c")).where("c > 1")
     shared = retained.join(counts, "v")
     w = Window.partitionBy("rep")
     ranked = shared.withColumn("lone", F.least("n", F.lit(p.k)) - F.count("*").over(w)).withColumn("r", F.row_number().over(w.orderBy("c", "v")))
-    return ranked.where(F.col("r") <= _prefix_length(p, F.col("n")) - F.col("lone")).select("v", "rep")
+    ranked = ranked.withColumn("score", (F.sum("c").over(w) + F.col("lone")) / F.least("n", F.lit(p.k)))
+    return ranked.where(F.col("r") <= _prefix_length(p, F.col("n")) - F.col("lone")).select("v", "rep", "score")
 
 
-def _filtered(pairs: DataFrame, nodes: DataFrame, p: NearDup) -> DataFrame:
-    """Pairs (a, b) whose set sizes and union-sketch estimate allow the similarity."""
+def _filtered(pairs: DataFrame, nodes: DataFrame, p: NearDup, loose: bool = False) -> DataFrame:
+    """Pairs (a, b) whose set sizes and union-sketch estimate allow the similarity; loose: about a third of it."""
+    num, least = (p.num / 2.5, p.k // 4) if loose else (p.num, p.shared())
     side = lambda c: nodes.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
-    met = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("n_a", "n_b") * p.den >= F.greatest("n_a", "n_b") * p.num)
+    met = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("n_a", "n_b") * p.den >= F.greatest("n_a", "n_b") * num)
     union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, p.k)
     common = F.size(F.array_intersect(F.array_intersect("s_a", "s_b"), union))
-    whole = F.greatest("n_a", "n_b") <= p.k
-    # whole sets: their union may be larger than k, but then their sketches hold all of it
-    exact = F.size(F.array_intersect("s_a", "s_b")) * p.den >= F.size(F.array_union("s_a", "s_b")) * p.num
-    return met.where(F.when(whole, exact).otherwise(common >= p.shared())).select("a", "b")
+    whole = F.greatest("n_a", "n_b") <= p.k  # then the sketches are the sets
+    exact = F.size(F.array_intersect("s_a", "s_b")) * p.den >= F.size(F.array_union("s_a", "s_b")) * num
+    return met.where(F.when(whole, exact).otherwise(common >= least)).select(*pairs.columns)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, p: NearDup) -> DataFrame:
-    """Pairs whose full sets have the similarity."""
+def _compared(pairs: DataFrame, sets: DataFrame, rest: bool) -> DataFrame:
+    """Pairs (a, b) with n_a, n_b, i (hashes in common) and, if asked for, rest and gone: the hashes that only a or only b has."""
 
     def run(batches):
         for x in batches:
-            a, b, fa, fb = (x.column(i).to_pylist() for i in range(4))
-            keep = []
-            for l, r in zip(fa, fb):  # noqa: E741
-                l, r = np.frombuffer(l, np.int64), np.frombuffer(r, np.int64)  # noqa: E741
-                at = np.searchsorted(r, l)
-                inter = int(np.count_nonzero(r[np.minimum(at, len(r) - 1)] == l)) if len(r) else 0
-                keep.append(p.den * inter >= p.num * (len(l) + len(r) - inter) and inter > 0)
-            yield pa.RecordBatch.from_arrays([pa.array([v for v, k in zip(c, keep) if k], pa.int64()) for c in (a, b)], names=["a", "b"])
+            rows = []
+            for left, right in zip(x.column(2).to_pylist(), x.column(3).to_pylist()):
+                left, right = np.frombuffer(left, np.int64), np.frombuffer(right, np.int64)
+                hit = right[np.minimum(np.searchsorted(right, left), len(right) - 1)] == left if len(right) else np.zeros(len(left), bool)
+                rows.append((len(left), len(right), int(hit.sum()), *((left[~hit], np.setdiff1d(right, left, assume_unique=True)) if rest else (None, None))))
+            kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 2
+            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=["a", "b", "n_a", "n_b", "i", "rest", "gone"])
 
     both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("full").alias("fa")), "a").join(sets.select(F.col("rep").alias("b"), F.col("full").alias("fb")), "b")
-    return both.select("a", "b", "fa", "fb").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "fa", "fb").mapInArrow(run, "a long, b long, n_a long, n_b long, i long, rest array<long>, gone array<long>")
 
 
-def _ordered(x: str, y: str) -> list[Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+def _linked(p: NearDup):
+    return F.expr(f"i > 0 and {p.den} * i >= {p.num} * (n_a + n_b - i)")
+
+
+class _Links:
+    """Verified links so far, pairs tried, and the components they make."""
+
+    def __init__(self, nodes: DataFrame, sets: DataFrame, p: NearDup):
+        self.nodes, self.sets, self.p, self.links, self.tried, self.labels = nodes, sets, p, None, None, None
+
+    def add(self, tried: DataFrame, links: DataFrame) -> None:
+        self.links = links if self.links is None else self.links.unionByName(links)
+        self.tried = tried if self.tried is None else self.tried.unionByName(tried)
+        self.labels = cut(connected_components(self.links, "a", "b"))
+
+    def settle(self, pairs: DataFrame, deltas: DataFrame | None = None) -> None:
+        """Verifies the pairs (x, y) not tried yet; nothing is done if there are none. For members of one hub deltas hold
+        what each has beside the hub's set and lacks of it: that gives the exact overlap without moving whole sets."""
+        new = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        new = cut(new.join(self.tried, ["a", "b"], "left_anti"))
+        release(new.sparkSession)
+        if new.isEmpty():
+            return
+        if deltas is not None:
+            side = lambda c: deltas.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("rest").alias(f"r_{c}"), F.col("gone").alias(f"g_{c}"), F.col("n_h").alias(f"h_{c}"))
+            met = new.join(side("a"), "a").join(side("b"), "b").withColumn("i", F.col("h_a") - F.size(F.array_union("g_a", "g_b")) + F.size(F.array_intersect("r_a", "r_b")))
+            self.add(new, cut(met.where(_linked(self.p)).select("a", "b")))
+        else:
+            self.add(new, cut(_compared(_filtered(new, self.nodes, self.p), self.sets, False).where(_linked(self.p)).select("a", "b")))
+
+    def marked(self, rows: DataFrame, name: str = "c", of: str = "rep") -> DataFrame:
+        return rows.join(self.labels.select(F.col("node").alias(of), F.col("component").alias("_c")), of, "left").withColumn(name, F.coalesce("_c", of)).drop("_c")
+
+
+def _mixed(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of groups that hold several components c."""
+    open_ = rows.groupBy(*keys).agg(F.min("c").alias("_lo"), F.max("c").alias("_hi")).where("_lo < _hi").select(*keys)
+    return rows.join(open_, [*keys], "left_semi")
 
 
 def class_components(docs: DataFrame, base: DataFrame, p: NearDup) -> DataFrame:
@@ -172,39 +218,74 @@ def class_components(docs: DataFrame, base: DataFrame, p: NearDup) -> DataFrame:
         "near-nodes",
     )
     lists = stored(rare_lists(nodes, p), "near-lists")
-    listed = lists.select("rep").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(listed.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
+    listed = lists.select(F.col("rep").alias("doc_id")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(listed, "doc_id", "left_semi")
     # a doc_id may come with several texts, or with the same text again: one set for each different one
     sets = stored(full_sets(texts, p).dropDuplicates(["rep", "full"]) if _repeats(base) else full_sets(texts, p), "near-sets")
-    links = tried = labels = None
-
-    def settle(pairs: DataFrame) -> None:
-        nonlocal links, tried, labels
-        fresh = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
-        fresh = cut(fresh)
-        found = cut(_verified(_filtered(fresh, nodes, p), sets, p))
-        links = found if links is None else links.unionByName(found)
-        tried = fresh if tried is None else tried.unionByName(fresh)
-        labels = cut(connected_components(links, "a", "b"))
-
-    def open_lists() -> DataFrame:
-        """Lists with members of several components, and those components."""
-        if labels is None:
-            return lists.withColumn("c", F.col("rep"))
-        marked = lists.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("v", "rep", F.coalesce("component", "rep").alias("c"))
-        mixed = marked.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("v")
-        return marked.join(mixed, "v", "left_semi")
-
-    for t in range(p.pivot_rounds):
-        now = open_lists()
-        now = now if labels is None else cut(now)
-        order = F.struct(F.xxhash64(F.lit(t), "rep").alias("h"), F.col("rep"), F.col("c"))
-        pivots = now.groupBy("v").agg(F.min(order).alias("m")).select("v", F.col("m.rep").alias("q"), F.col("m.c").alias("cq"))
-        settle(now.join(pivots, "v").where("rep <> q and c <> cq").select(*_ordered("rep", "q")).distinct())
-    rest = cut(open_lists())
-    left, right = rest.select("v", F.col("rep").alias("x"), F.col("c").alias("cx")), rest.select("v", F.col("rep").alias("y"), F.col("c").alias("cy"))
-    settle(left.join(right, "v").where("x < y and cx <> cy").select(*_ordered("x", "y")).distinct())
-    return labels.select(F.col("node").alias("rep"), "component")
+    links = _Links(nodes, sets, p)
+
+    release(docs.sparkSession)
+    hubs = lists.groupBy("v").agg(F.max(F.struct("score", "rep")).alias("hub")).select("v", F.col("hub.rep").alias("b"), F.col("hub.score").alias("score_b"))
+    pairs = lists.join(hubs, "v").where("rep <> b").groupBy(F.col("rep").alias("a"), "b").agg(F.max("score_b").alias("score_b"))
+    near = stored(_compared(_filtered(pairs.select("a", "b"), nodes, p, loose=True), sets, True), "near-hubs")
+    ordered = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "n_a", "n_b", "i").distinct()
+    links.add(ordered.select("a", "b"), ordered.where(_linked(p)).select("a", "b"))
+
+    last = hubs.select("v", F.struct(F.col("score_b").alias("score"), F.col("b").alias("rep")).alias("last"))
+    for _ in range(p.more_hubs):
+        rows = _mixed(links.marked(lists), "v").join(last, "v")
+        last = cut(rows.where(F.struct("score", "rep") < F.col("last")).groupBy("v").agg(F.max(F.struct("score", "rep")).alias("last")))
+        tops = links.marked(last.select("v", F.col("last.rep").alias("y")), "cy", "y")
+        links.settle(rows.drop("last").join(tops, "v").where("rep <> y and c <> cy").select(F.col("rep").alias("x"), "y"))
+
+    # each member with its highest hub: what it shares with it, and what it has beside it
+    none = F.array().cast("array<long>")
+    own = near.select(F.col("b").alias("a"), "b", F.col("n_b").alias("n_a"), "n_b", F.col("n_b").alias("i")).distinct().withColumn("rest", none).withColumn("gone", none)
+    scores = hubs.groupBy("b").agg(F.max("score_b").alias("score_b"))
+    highest = near.unionByName(own).join(scores, "b").groupBy("a").agg(F.max_by(F.struct("b", "n_a", "n_b", "i", "rest", "gone"), F.struct("score_b", "b")).alias("m"))
+    hubbed = stored(highest.select(F.col("a").alias("rep"), F.col("m.b").alias("h"), F.col("m.n_a").alias("n"), F.col("m.i").alias("i"), F.col("m.rest").alias("rest"), F.col("m.gone").alias("gone"), F.col("m.n_b").alias("n_h")), "near-hubbed")
+    deltas = hubbed.select("rep", "n", "rest", "gone", "n_h")
+
+    release(docs.sparkSession)
+
+    # members of one list under different hubs
+    rows = _mixed(links.marked(lists.select("v", "rep").join(hubbed.select("rep", "h"), "rep", "left")), "v")
+    rows = cut(rows)
+    most = rows.where("h is not null").groupBy("v", "h").agg(F.count("*").alias("m")).groupBy("v").agg(F.max_by("h", F.struct("m", "h")).alias("most"))
+    other = rows.join(most, "v", "left").where("not (h <=> most) or h is null").select("v", F.col("rep").alias("x"), F.col("c").alias("cx"), F.col("h").alias("hx"))
+    links.settle(other.join(rows.select("v", F.col("rep").alias("y"), "c", "h"), "v").where("x <> y and cx <> c and (hx is null or h is null or hx <> h)").select("x", "y"))
+
+    # C of each hub that is still open: what half of its members share counts as the hub's
+    group = cut(_mixed(links.marked(hubbed.drop("gone", "n_h")), "h").drop("c"))
+    each = group.select("h", "rep", F.explode("rest").alias("e"))
+    half = each.groupBy("h", "e").agg(F.count("*").alias("d")).join(group.groupBy("h").agg(F.count("*").alias("m")), "h").where("2 * d >= m").select("h", "e")
+    gain = each.join(half, ["h", "e"], "left_semi").groupBy("rep").agg(F.count("*").alias("g"))
+    group = cut(group.drop("rest").join(gain, "rep", "left").withColumn("i", F.col("i") + F.coalesce("g", F.lit(0))).drop("g"))
+    each = cut(each.join(half, ["h", "e"], "left_anti").join(group, ["h", "rep"]))
+
+    release(docs.sparkSession)
+
+    # members of one hub that share hashes outside C
+    rest = lambda: _mixed(links.marked(each), "h", "e")
+    rows = cut(rest())
+    weight = rows.groupBy("rep").agg(F.count("*").alias("w"))
+    tops = rows.join(weight, "rep").groupBy("h", "e").agg(F.max(F.struct("w", "rep", "c")).alias("t")).select("h", "e", F.col("t.rep").alias("y"), F.col("t.c").alias("cy"))
+    links.settle(rows.join(tops, ["h", "e"]).where("rep <> y and c <> cy").select(F.col("rep").alias("x"), "y"), deltas)
+    rows = cut(rest())
+    left, right = (rows.select("h", "e", *(F.col(k).alias(k + z) for k in ("rep", "n", "i", "c"))) for z in "xy")
+    shared = left.join(right, ["h", "e"]).where("repx < repy and cx <> cy").groupBy("repx", "repy").agg(F.count("*").alias("s"), *(F.first(k).alias(k) for k in ("nx", "ny", "ix", "iy")))
+    links.settle(shared.where(f"{p.num} * (nx + ny) <= {p.num + p.den} * (least(ix, iy) + s)").select(F.col("repx").alias("x"), F.col("repy").alias("y")), deltas)
+
+    # members of one hub whose sizes and overlaps alone would be enough; those in the hub's component are one already
+    group = _mixed(links.marked(group), "h").join(links.marked(group.select("h").distinct(), "ch", "h"), "h").withColumn("out", F.col("c") != F.col("ch"))
+    group = cut(group.select("h", "rep", "c", "n", "i", "out"))
+    kinds = group.select("h", "n", "i", "out").distinct()
+    k1, k2 = (kinds.select("h", *(F.col(k).alias(k + z) for k in ("n", "i", "out"))) for z in "xy")
+    enough = k1.where("outx").join(k2, "h").where(f"{p.num} * (nx + ny) <= {p.num + p.den} * least(ix, iy)")
+    g1, g2 = (group.select("h", *(F.col(k).alias(k + z) for k in ("rep", "c", "n", "i", "out"))) for z in "xy")
+    met = enough.join(g1, ["h", "nx", "ix", "outx"]).join(g2, ["h", "ny", "iy", "outy"]).where("cx <> cy and repx <> repy")
+    links.settle(met.select(F.col("repx").alias("x"), F.col("repy").alias("y")), deltas)
+    return links.labels.select(F.col("node").alias("rep"), "component")
 
 
 def _repeats(base: DataFrame) -> bool:
