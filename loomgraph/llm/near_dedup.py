@@ -37,7 +37,7 @@ from pyspark.sql.window import Window
 
 from loomgraph.llm.batches import Memo, small_batches
 from loomgraph.operators.components import connected_components
-from loomgraph.plans.scratch import cut, release, stored
+from loomgraph.plans.scratch import cut, release, short_shuffles, stored
 
 
 @dataclass(frozen=True)
@@ -304,7 +304,8 @@ def near_duplicates(docs: DataFrame, params: NearDup = NearDup()) -> DataFrame:
     """
     base = stored(sketches(docs, params), "near-base")
     classes = base.where("fp is not null and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    parts = class_components(docs, base, params)
+    with short_shuffles(docs.sparkSession):
+        parts = class_components(docs, base, params)
     named = classes.join(parts, "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     # the component's smallest class representative is its smallest doc_id: each is the smallest of its class
     out = base.select("doc_id", "n_shingles", "fp").join(named, "fp", "left")
