@@ -37,8 +37,12 @@ def indel_ratio(a: str, b: str) -> float:
     return 100.0 if not a and not b else 200.0 * common_length(a, b) / (len(a) + len(b))
 
 
+def tokens_sorted(t: str) -> str:
+    return " ".join(sorted(t.split()))
+
+
 def token_sort_ratio(a: str, b: str) -> float:
-    return indel_ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
+    return indel_ratio(tokens_sorted(a), tokens_sorted(b))
 
 
 def name_parts(name: str) -> tuple[str, tuple[str, ...]]:
@@ -65,6 +69,16 @@ def _pairwise(f, kind):
     return g
 
 
+def _each(f):
+    @pandas_udf("string")
+    def g(a: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else f(x) for x in a], dtype=object)
+
+    return g
+
+
+folded_of = lambda a: _each(folded)(a)
+tokens_sorted_of = lambda a: _each(tokens_sorted)(a)
 block_ratio_of = lambda a, b: _pairwise(block_ratio, "double")(a, b)
 indel_ratio_of = lambda a, b: _pairwise(indel_ratio, "double")(a, b)
 token_sort_ratio_of = lambda a, b: _pairwise(token_sort_ratio, "double")(a, b)

@@ -247,23 +247,36 @@ def q27_continent(t):
     return t("nation").join(r, "n_regionkey", "left").select("n_name", "continent")
 
 
-def title_candidates(t) -> DataFrame:
-    names = t("part").select("p_name").distinct()
-    wanted = t("part").where("p_partkey <= 10").select(F.col("p_partkey").alias("id"), F.reverse("p_name").alias("title"), F.length("p_name").alias("n"))
+#: Least similarities of the reference, in percent: of titles, and of names by their sorted tokens.
+TITLES_ALIKE, NAMES_ALIKE = 80, 75
+
+
+def title_candidates(t, compared, least: int) -> DataFrame:
+    """Each distinct name of all parts as title, with the names p_name that can reach least percent. compared gives the
+    text whose length counts. The pairs grow with the square of the distinct names, not of the parts."""
+    names = t("part").where("p_name is not null").select("p_name").distinct().withColumn("m", F.length(compared("p_name")))
+    wanted = names.select(F.col("p_name").alias("title"), F.col("m").alias("n"))
     # a ratio of r needs lengths within 2 * shorter / both >= r: blocks that cannot reach it are not compared
-    return wanted.join(names, F.least("n", F.length("p_name")) * 2 >= (F.col("n") + F.length("p_name")) * 0.4)
+    return wanted.join(names, F.least("n", "m") * 200 >= (F.col("n") + F.col("m")) * least)
+
+
+def for_every_part(t, found: DataFrame) -> DataFrame:
+    """found (title and a result) joined back to all parts; null where nothing is alike enough."""
+    return t("part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title")).join(found, "title", "left").drop("title")
 
 
 @query()
 def q28_best_title(t):
-    rows = title_candidates(t).withColumn("score", similarity.block_ratio_of("title", "p_name"))
-    return rows.where("score >= 0.4").groupBy("id").agg(F.min_by("p_name", F.struct(-F.col("score"), F.col("p_name"))).alias("best"))
+    """The most similar name for the name of each part, of equals the first by name."""
+    rows = title_candidates(t, similarity.folded_of, TITLES_ALIKE).withColumn("score", similarity.block_ratio_of("title", "p_name"))
+    return for_every_part(t, rows.where(F.col("score") >= TITLES_ALIKE / 100).groupBy("title").agg(F.min_by("p_name", F.struct(-F.col("score"), F.col("p_name"))).alias("best")))
 
 
 @query()
 def q29_token_sort(t):
-    rows = title_candidates(t).withColumn("score", similarity.token_sort_ratio_of("title", "p_name"))
-    return rows.where("score >= 40").groupBy("id").agg(F.min("p_name").alias("first_match"))
+    """The first name, by name, that is similar to the name of each part."""
+    rows = title_candidates(t, similarity.tokens_sorted_of, NAMES_ALIKE).withColumn("score", similarity.token_sort_ratio_of("title", "p_name"))
+    return for_every_part(t, rows.where(F.col("score") >= NAMES_ALIKE).groupBy("title").agg(F.min("p_name").alias("first_match")))
 
 
 @query("""with c as (select distinct l_orderkey as paper, l_suppkey as author, s_nationkey as person from lineitem join supplier on l_suppkey = s_suppkey),
