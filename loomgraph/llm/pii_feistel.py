@@ -66,6 +66,17 @@ def mod97(account: str) -> int:
     return int("".join(str(int(c, 36)) for c in account[4:] + account[:4])) % 97
 
 
+#: Lengths of account numbers by country, as registered.
+ACCOUNT_LENGTHS = {
+    x[:2]: int(x[2:])
+    for x in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 "
+        "GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 "
+        "NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30"
+    ).split()
+}
+
+
 def relaid(layout: str, digits: str, kind: str = "0-9") -> str:
     """digits put into the places of the layout's own characters of that kind."""
     it = iter(digits)
@@ -103,8 +114,10 @@ class Pseudonyms:
         while m:
             kind, new, end = m.lastgroup, None, m.end()
             for k in self.order[self.order.index(kind) :]:
-                if (n := m if k == kind else self.alone[k].match(text, m.start())) and (new := getattr(self, f"_{k}")(n[0])) is not None:
-                    kind, end = k, n.end()
+                n = m if k == kind else self.alone[k].match(text, m.start())
+                v = next((v for v in self._readings(k, n[0]) if (new := getattr(self, f"_{k}")(v)) is not None), None) if n else None
+                if v is not None:
+                    kind, end = k, n.start() + len(v)
                     break
             if new is None:  # nothing valid begins here: go on after its first character
                 end = m.start() + 1
@@ -116,6 +129,15 @@ class Pseudonyms:
             m = self.any.search(text, at)
         return "".join(out) + text[at:]
 
+    def _readings(self, kind: str, v: str) -> list[str]:
+        """What a match may stand for, in the order to try. The tail of an account number may be the words after it: it
+        is cut to the length of its country, or, where that is not known, before each of its spaces from the last on."""
+        if kind != "iban":
+            return [v]
+        cuts = [v[:i] for i in range(len(v) - 1, 0, -1) if v[i] == " "]
+        size = ACCOUNT_LENGTHS.get(v[:2])
+        return [c for c in cuts if len(c.replace(" ", "")) == size] + [v] if size else [v, *cuts]
+
     def _digits(self, digits: str, tweak: str) -> str:
         return str(self.feistel(int(digits), 10 ** len(digits), tweak)).zfill(len(digits))
 

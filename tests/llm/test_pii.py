@@ -57,6 +57,19 @@ def test_invalid_values_stay():
         assert one(text) == (text, []), text
 
 
+def test_account_numbers_before_other_words():
+    for number, after in (
+        ("ES9121000418450200051332", " BIC CAIXESBB"), ("AT61 1904 3002 3457 3201", " BIC X"), ("BE68 5390 0754 7034", " KBC 12"), ("BE68539007547034", " GEBABEBB"),
+        ("SE45 5000 0000 0583 9825 7466", " A1 x"), ("CZ6508000000192000145399", " GIBACZPX 7"), ("DE89 3704 0044 0532 0130 00", " BIC X"), ("XX36 1904 3002 3457 3201", " BIC X"),
+    ):
+        assert mod97(number.replace(" ", "")) == 1, number
+        new, found = one(f"to {number}{after}.")
+        assert [x for x in found if x[0] == "iban"] == found == [("iban", 3, 3 + len(number))], (number, found)
+        assert new.endswith(f"{after}.") and new.startswith(f"to {number[:2]}") and number not in new
+        assert mod97(new[3 : 3 + len(number)].replace(" ", "")) == 1
+    assert one("ES9021000418450200051332 BIC X")[1] == []
+
+
 def test_many_values_and_junk():
     rng, p = random.Random(1), Pseudonyms(KEY)
     for _ in range(2000):
