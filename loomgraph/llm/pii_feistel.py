@@ -1,7 +1,7 @@
 """Format-preserving pseudonyms for personal data by keyed Feistel permutations.
 
 A value is found by its format and validated (card numbers by their check digit, account numbers modulo 97, dates by the
-calendar, telephone and social-security numbers and addresses by the ranges of their parts). It is then numbered within
+calendar, social-security numbers and addresses by the ranges of their parts, telephone numbers by their plan or form). It is then numbered within
 all valid values of its format, the number is permuted by a balanced Feistel network keyed with BLAKE2b (walking on
 until it falls into the format again), and written back into the same layout. Equal values get equal pseudonyms in every
 document, whatever their punctuation; without the key they cannot be traced back.
@@ -77,6 +77,11 @@ ACCOUNT_LENGTHS = {
 }
 
 
+def mask(address: int) -> bool:
+    """Whether the 32 bits are ones, then zeros, as in network masks; either may be missing."""
+    return not (~address & 0xFFFFFFFF) & ((~address & 0xFFFFFFFF) + 1)
+
+
 def relaid(layout: str, digits: str, kind: str = "0-9") -> str:
     """digits put into the places of the layout's own characters of that kind."""
     it = iter(digits)
@@ -180,11 +185,23 @@ class Pseudonyms:
         return relaid(v, body + str(-luhn(body + "0") % 10))
 
     def _ip(self, v: str) -> str | None:
+        """Host addresses stay host addresses, those that begin with 0 or 224 and up stay such. Masks stay as they are."""
         parts = v.split(".")
-        if any(int(p) > 255 or str(int(p)) != p for p in parts) or not 1 <= int(parts[0]) <= 223:
+        if any(int(p) > 255 or str(int(p)) != p for p in parts):
             return None
-        x = int.from_bytes(map(int, parts), "big") - (1 << 24)
-        return ".".join(map(str, (self.feistel(x, 223 << 24, "ip") + (1 << 24)).to_bytes(4, "big")))
+        x = int.from_bytes(map(int, parts), "big")
+        if 1 <= int(parts[0]) <= 223:
+            x = self.feistel(x - (1 << 24), 223 << 24, "ip") + (1 << 24)
+        else:
+            if mask(x):
+                return None
+            low = 1 << 24  # numbered on: 0.*, then 224.* to 255.*
+            while True:
+                x = self.feistel(x if x < low else x - (223 << 24), 33 << 24, "ip:reserved")
+                x = x if x < low else x + (223 << 24)
+                if not mask(x):
+                    break
+        return ".".join(map(str, x.to_bytes(4, "big")))
 
     def _ssn(self, v: str) -> str | None:
         a, b, c = map(int, v.split("-"))
@@ -200,11 +217,20 @@ class Pseudonyms:
         plus, country = v[0] == "+", ""
         if len(d) == 11 and d[0] == "1" or len(d) == 10 and not plus:
             country, d = d[:-10], d[-10:]
-            if d[0] in "01" or d[3] in "01":
-                return None
+            if d[0] == "0":
+                return relaid(v, f"{country}0{self._digits(d[1:], 'phone:0')}")
+            if d[0] == "1" or d[3] in "01":  # outside the plan: stays outside
+                while True:
+                    d = self._digits(d, "phone:unplanned")
+                    if d[0] == "1" or d[0] != "0" and d[3] in "01":
+                        return relaid(v, country + d)
             x = (int(d[:3]) - 200) * 800 + int(d[3:6]) - 200
             x, line = divmod(self.feistel(x * 10000 + int(d[6:]), 800 * 800 * 10000, "nanp"), 10000)
             return relaid(v, f"{country}{x // 800 + 200}{x % 800 + 200}{line:04d}")
+        if not plus and d[0] == "0":  # national, with its trunk digit
+            return relaid(v, "0" + self._digits(d[1:], "phone:0"))
+        if v[0] == "(":
+            return relaid(v, self._digits(d, "phone:area"))
         if not plus or not 8 <= len(d) <= 15:
             return None
         m = re.match(r"\+([0-9]{1,3})[ .(-]", v)

@@ -70,6 +70,28 @@ def test_account_numbers_before_other_words():
     assert one("ES9021000418450200051332 BIC X")[1] == []
 
 
+def test_numbers_outside_the_plan_and_reserved_addresses():
+    for text, kind, form in (
+        ("call +1 (017) 555-7713 x", "phone", r"call \+1 \(0[0-9]{2}\) [0-9]{3}-[0-9]{4} x"),
+        ("call +1 (132) 555-1352.", "phone", r"call \+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}\."),
+        ("call 319-055-5132 x", "phone", r"call [0-9]{3}-[0-9]{3}-[0-9]{4} x"),
+        ("Tel. 030 1234567", "phone", r"Tel\. 0[0-9]{2} [0-9]{7}"),
+        ("Tel. 0151 23456789", "phone", r"Tel\. 0[0-9]{3} [0-9]{8}"),
+        ("Tel. (30) 123456", "phone", r"Tel\. \([0-9]{2}\) [0-9]{6}"),
+        ("at 248.40.198.62 x", "ip", r"at (0|22[4-9]|2[3-5][0-9])(\.[0-9]+){3} x"),
+        ("at 0.12.13.14 x", "ip", r"at (0|22[4-9]|2[3-5][0-9])(\.[0-9]+){3} x"),
+    ):
+        new, found = one(text)
+        assert [k for k, _, _ in found] == [kind] and re.fullmatch(form, new) and new != text, (text, new, found)
+        assert [k for k, _, _ in one(new)[1]] == [kind]
+    digits = lambda t: re.sub(r"\D", "", one(t)[0])
+    assert digits("+1 (017) 555-7713")[1:] == digits("017-555-7713") and digits("+1 (132) 555-1352")[1:] == digits("132 555 1352")
+    images = {one(f"+1 (132) 555-{i:04d}")[0] for i in range(2000)} | {one(f"248.1.{i >> 8}.{i & 255}")[0] for i in range(2000)}
+    assert len(images) == 4000  # still a permutation
+    for text in ("255.255.255.0", "0.0.0.0", "10.000.000", "12 345 678", "4111 1111 1111 1112"):
+        assert one(text) == (text, []), text
+
+
 def test_many_values_and_junk():
     rng, p = random.Random(1), Pseudonyms(KEY)
     for _ in range(2000):
