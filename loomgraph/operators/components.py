@@ -31,18 +31,20 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v", ma
 
     Loops, repeated and reversed edges and rows with a null end are allowed and change nothing; a node seen only in
     loops is its own component. Minima are pre-aggregated and joined back, so the edges of a hub are never gathered in
-    one task. Each round is checkpointed; only a row count and a checksum come to the driver.
+    one task. Each round is checkpointed; only a row count and a checksum come to the driver. Edges that still change
+    after max_rounds raise an error: they would give wrong components.
     """
     raw = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u is not null and v is not null")
     nodes = raw.select(F.col("u").alias("node")).union(raw.select("v")).distinct()
     now = cut(raw.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = _digest(now)
-    for _ in range(max_rounds if before[0] else 0):
+    rounds, stable = 0, not before[0]
+    while not stable and rounds < max_rounds:
         now = cut(_small_star(_large_star(now)))
         after = _digest(now)
-        if after == before:
-            break
-        before = after
+        before, stable, rounds = after, after == before, rounds + 1
     release(edges.sparkSession)
+    if not stable:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.join(roots, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
