@@ -1,6 +1,8 @@
 """Secret scans: candidates by format, false positives removed by a random forest.
 
-A candidate is a run of 12 or more letters, digits and ``+/_~-`` with at least one letter and one digit. Its features
+A candidate is a run of 12 or more letters, digits and ``+/_~-`` with at least one letter and one digit, or, directly
+after a secret word and ``=``, ``:`` or ``is`` (``Bearer`` needs none), the whole value of any length and characters: up to
+the closing quote, or without quotes up to the next space, quote or final punctuation. Its features
 are its length, its changes between character classes, the share of it that dictionary words cover, whether it stands in
 a path, and the words beside it. A random forest trained on labelled findings decides; it is compiled into column
 expressions, so that scanning and masking are one narrow projection over the texts.
@@ -29,15 +31,22 @@ DICTIONARY = (
     "node note number object option order output package page param parent part password path photo picture place plain plugin point print process product "
     "project public python query read record release remote render report request reset resource response result root row sample save schema script search "
     "secret select server service session set shared simple site size sort source start state static status string style sub support system table target task "
-    "template test text theme this time title token tool type unit update upload user util value version video view web widget with word work write year your"
+    "template test text theme this time title token tool type unit update upload user util value version video view web widget with word work write year your "
+    "changed correct disabled empty enabled encrypted expired false generated hidden incorrect invalid kept lost missing needed none null optional protected redacted "
+    "required safe sent stored string true undefined unknown used valid weak wrong"
 ).split()
 BEFORE, AFTER = 48, 16
 SECRET_WORDS = r"(?i)(passw(or)?d|passphrase|pwd|secret|token|api[_ -]?key|access[_ -]?key(_id)?|auth(orization)?|credentials?|bearer|private[_ -]?key)[\"']?\s*(=|:|is)?\s*[\"']?$"
+_WORDS = r"(?:passw(?:or)?d|passphrase|pwd|secret|token|api[_ -]?key|access[_ -]?key(?:_id)?|auth(?:orization)?|credentials?|private[_ -]?key)"
+_SAID = rf"(?i:{_WORDS}[\"']?\s{{0,3}}(?:[=:]|(?<=\s)is(?=\s))\s{{0,3}}|bearer\s{{1,3}})"
+#: Values directly after secret words, for Java: quoted, then others. The short look-behind first is for speed.
+VALUE = rf"(?<=[\"'])(?<={_SAID}\")[^\"\n]+(?=\")|(?<=')(?<={_SAID}')[^'\n]+(?=')|(?<=[=:\s])(?<={_SAID})(?!(?i:bearer)\s)[^\s\"']*[^\s\"'.,;:]"
 PLAIN_WORDS = r"(?i)(commit|sha-?[0-9]*|md5|checksum|digest|hash|uuid|guid|id|isbn|doi|version|rev|revision|build|etag|serial|model|ref|order|invoice|branch|tag)[\"']?\s*[=:#]?\s*[\"']?$"
 PATH_BEFORE = r"([/\\.@#?&]|://\S*|\b[A-Za-z]:\S*)$"
 PATH_AFTER = r"^([/\\@]|\.[A-Za-z0-9]{1,5}\b|\()"
 #: How issued keys begin.
 ISSUED = r"^((AKIA|ASIA)[0-9A-Z]{16}$|gh[pousr]_|glpat-|xox[abprs]-|sk_live_|AIza|eyJ|npm_|hf_)"
+ANY = f"{VALUE}|{CANDIDATE}"
 FEATURES = ["length", "changes", "digits", "distinct", "known", "slashes", "joints", "path", "file", "secret_word", "plain_word", "quoted", "issued"]
 
 
@@ -101,6 +110,12 @@ def labelled_findings(spark: SparkSession, n: int) -> DataFrame:
     name = pick(4, "commit ", "sha1: ", "sha256:", "md5 ", "checksum = \"", "ETag: \"", "rev ", "hash: ", "digest=")
     dated = F.concat(pick(2, "invoice", "Order", "IMG", "build", "release", "Fig"), pick(6, "-", "_"), F.lit("20"), F.lpad(num(25), 2, "0"), pick(6, "-", "_"), F.lpad(num(12), 2, "0"), pick(6, "-", "_"), F.lpad(num(28), 2, "0"))
     none = F.lit("")
+    letters = F.regexp_replace(b62, "[0-9]", "")
+    part = lambda start, shift, *sizes: F.substring(b62, start, pick(shift, *sizes).cast("int"))
+    symbol = lambda shift: pick(shift, "&", "!", "$", "#", "%", "*", ".", "?", "^")
+    plain = pick(2, "none", "null", "true", "false", "required", "optional", "invalid", "expired", "missing", "wrong", "undefined", "string", "a", "the", "not", "in", "used", "sent", "lost", "self")
+    held = pick(2, "${DB_PASSWORD}", "$TOKEN", "<your-password>", "<token>", "{{ secret }}", "getToken()", "config.password", "********", "xxxxxxxx", "......", "your password", "the secret key", "%(password)s", "changeme", "os.environ")
+    phrase = F.lower(F.call_function("concat_ws", pick(6, " ", "-", " "), F.substring(letters, 1, 6), F.substring(letters, 7, 5), F.substring(letters, 12, 7), F.substring(letters, 19, 6)))
     kinds = [
         (F.concat(pick(2, "AKIA", "ASIA"), F.substring(F.upper(b62), 1, 16)), pick(7, prose, F.lit("aws_access_key_id = ")), none, 1),
         (hexes, F.concat(prose, key, join), close, 1),
@@ -117,6 +132,14 @@ def labelled_findings(spark: SparkSession, n: int) -> DataFrame:
         (hold, F.concat(prose, key, join), close, 0),
         (dated, pick(9, prose, F.lit("order "), F.lit("see ")), pick(13, ".pdf", " ", "."), 0),
         (F.concat(F.substring(sha, 1, 12), F.lit("/"), F.substring(sha, 13, 10)), F.lit("https://cdn.example.net/"), pick(13, ".jpg", ".js", ".css"), 0),
+        (random(14, 4, 6, 7, 8, 9, 10, 11), F.concat(prose, key, join), close, 1),
+        (F.concat(part(1, 14, 3, 5, 8), symbol(17), part(12, 20, 1, 4, 9), pick(23, symbol(26), none, none)), F.concat(prose, key, join), close, 1),
+        (F.when(F.pmod("r", F.lit(2)) == 0, F.lower(F.substring(letters, 1, pick(14, 5, 6, 8, 12, 16, 24).cast("int")))).otherwise(F.substring(letters, 1, pick(14, 5, 6, 8, 12, 16, 24).cast("int"))), F.concat(prose, key, join), close, 1),
+        (phrase, F.concat(prose, key, pick(9, "=\"", ": \"", " = \"")), F.lit("\""), 1),
+        (F.concat(F.lower(F.substring(letters, 1, pick(14, 4, 6, 8).cast("int"))), num(1000)), F.concat(prose, key, join), close, 1),
+        (plain, F.concat(prose, key, join), close, 0),
+        (held, F.concat(prose, key, join), close, 0),
+        (F.pmod("r", F.lit(1000)).cast("string"), F.concat(prose, key, join), close, 0),
     ]
     out = []
     for k, fields in enumerate(kinds):
@@ -172,7 +195,7 @@ def score(forest: list[Tree], x: Column) -> Column:
 def scanned(docs: DataFrame, forest: list[Tree], threshold: float = 0.5) -> DataFrame:
     """docs with _gaps (texts around candidates, one more than these) and _hits: array of (candidate, secret)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.withColumn("_found", F.regexp_extract_all(text, F.lit(CANDIDATE), 0)).withColumn("_gaps", F.when(F.size("_found") > 0, F.split(text, CANDIDATE, -1)).otherwise(F.array(text)))
+    d = docs.withColumn("_found", F.regexp_extract_all(text, F.lit(ANY), 0)).withColumn("_gaps", F.when(F.size("_found") > 0, F.split(text, ANY, -1)).otherwise(F.array(text)))
     features = lambda c, i: F.struct(c.alias("candidate"), *(v.alias(f) for v, f in zip(described(c, F.right(F.get("_gaps", i), F.lit(BEFORE)), F.left(F.get("_gaps", i + 1), F.lit(AFTER))), FEATURES)))
     d = d.withColumn("_described", F.transform("_found", features))
     return d.withColumn("_hits", F.transform("_described", lambda x: F.struct(x["candidate"].alias("candidate"), (score(forest, x) > threshold).alias("secret")))).drop("_found", "_described")

@@ -137,3 +137,14 @@ def test_findings_equal_brute_force(spark, small, forest):
     texts = {r.doc_id: r.text for r in S.masked(docs, forest).collect()}
     assert "ghp_" not in texts[10**6] and "abc123def456ghi7" not in texts[10**6] and "0123456789abcdef01234567 https" in texts[10**6] and texts[10**6 + 1] is None
     assert S.findings(docs.where("false"), forest).count() == 0
+
+
+def test_values_after_secret_words(spark, forest):
+    texts = {
+        "password = hunter2 now": "password = [SECRET] now", 'password: "Tr0ub4dor&3" x': 'password: "[SECRET]" x', "pwd=Tr0ub4dor&3.": "pwd=[SECRET].", "api_key: qwkzjxvbnmpl": "api_key: [SECRET]",
+        "Authorization: Bearer abcXYZ": "Authorization: Bearer [SECRET]", "password is required": None, "token: None": None, "password = ${DB_PASSWORD}": None, "the token is the first": None, "hunter2 &3 qwkzjxvbnmpl": None,
+    }
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.text for r in S.masked(docs, forest).orderBy("doc_id").collect()] == [v or k for k, v in texts.items()]
+    found = [(r.doc_id, r.start, r.length, r.candidate) for r in S.findings(docs, forest).where("secret").orderBy("doc_id").collect()]
+    assert found == [(0, 11, 7, "hunter2"), (1, 11, 11, "Tr0ub4dor&3"), (2, 4, 11, "Tr0ub4dor&3"), (3, 9, 12, "qwkzjxvbnmpl"), (4, 22, 6, "abcXYZ")]
