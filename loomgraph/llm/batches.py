@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-#: Rows an Arrow batch of whole texts holds at most: texts of some 100 kB stay at a few tens of MB.
-TEXT_ROWS = 256
-
-
-def small_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
-    """Lowers the session's Arrow batch size to ``rows`` if it is larger; it is never raised."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key, "10000"))
-    if now <= 0 or now > rows:
-        spark.conf.set(key, str(rows))
+#: Rows and bytes that an Arrow batch of whole texts holds at most.
+TEXT_ROWS, TEXT_BYTES = 1024, 4 << 20
+
+
+def small_batches(spark: SparkSession, rows: int = TEXT_ROWS, most: int = TEXT_BYTES) -> None:
+    """Lowers the session's Arrow batch size to ``rows`` and ``most`` bytes where it is larger; it is never raised. The
+    limits are read when a plan runs, so they stay with the session."""
+    bytes_of = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for key, limit, parsed in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows, int), ("spark.sql.execution.arrow.maxBytesPerBatch", most, bytes_of)):
+        now = parsed(spark.conf.get(key))
+        if now <= 0 or now > limit:
+            spark.conf.set(key, str(limit))
 
 
 class Memo(dict):

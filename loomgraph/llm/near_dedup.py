@@ -10,16 +10,19 @@
 4. Survivors are verified by the exact Jaccard similarity of the full shingle sets.
 
 Lists that hold large groups of near copies are not expanded into all pairs. Each list has a hub, its most central
-member, and every member is compared with the hubs of its lists, members still apart also with the next most central
-ones; components are contracted. What is left are pairs of
-different components, and they are found exactly, without going through the group again:
-
-* Let C be a hub's set and what half of its members have beside it. Two members x, y that share c hashes outside C have
-  at most min(i_x, i_y) + c in common, where i is what each has in common with C; this holds for any C. If it is not
-  enough without c, they share a residual hash: lists of residual hashes, first with hubs of their own, then in full,
-  give these pairs. Edits of one copy are rare among the others, so these lists are short.
+member; every member is compared with the hubs of its lists, and verified links contract components. What is left are
+pairs of different components, found exactly in two more passes, each of which verifies its pairs and contracts what is
+new once:
+
+* Each member stays with its highest hub. Let C be that hub's set and what half of the hub's members have beside it. Two
+  members x, y of one hub that share c hashes outside C have at most min(i_x, i_y) + c in common, where i is what each
+  has in common with C; this holds for any C. As |x & y| >= t |x|, x needs c >= t |x| - i_x. So the prefix filter holds
+  for what is outside C: only the rarest ``outside - needed + 1`` hashes of a member need lists. Members with many edits
+  of their own, which nobody shares, have none. The lists are joined with their hubs first, then in full.
 * If the sizes alone would be enough, pairs of (size, overlap) classes that are enough are expanded.
-* Members of one list with different hubs: those outside the list's dominant hub are paired with the list.
+* Members of one list with different hubs: the list's next hub first, then those outside its dominant hub with the list.
+
+Components are contracted over what is already known: a pass runs the star algorithm on links between components only.
 """
 
 from __future__ import annotations
@@ -42,17 +45,24 @@ from loomgraph.plans.scratch import cut, release, short_shuffles, stored
 
 @dataclass(frozen=True)
 class NearDup:
-    """Similarity is num/den or more; ``miss`` bounds the chance that a qualifying pair shares too few retained values."""
+    """Similarity is num/den or more; ``miss`` bounds the chance that a qualifying pair shares too few retained values.
+    With ``k`` None sketches are whole sets: no pair is missed, for more and longer lists."""
 
     shingle: int = 5
     num: int = 80
     den: int = 100
-    k: int = 64
+    k: int | None = 64
     miss: float = 1e-10
-    more_hubs: int = 2
+
+    @property
+    def most(self) -> int:
+        """Values that a sketch holds at most."""
+        return self.k or (1 << 31) - 1
 
     def shared(self) -> int:
         """The largest s with P(Binomial(k, num/den) < s) <= miss."""
+        if self.k is None:
+            return 1
         t, tail, s = self.num / self.den, 0.0, 0
         while (tail := tail + comb(self.k, s) * t**s * (1 - t) ** (self.k - s)) <= self.miss:
             s += 1
@@ -88,45 +98,59 @@ def _stirred(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def sketches(docs: DataFrame, p: NearDup) -> DataFrame:
-    """doc_id, n_shingles, fp (128-bit digest of the whole set; null if empty), sketch (k smallest hashes)."""
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text as bytes. A batch ends at a number of rows or bytes."""
+    small_batches(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+
+
+def _digest(hashes: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None
+
+
+def sketches(docs: DataFrame, p: NearDup, by_text: bool = False) -> DataFrame:
+    """doc_id, text_md5 (null unless by_text), n_shingles, fp (128-bit digest of the whole set; null if empty), sketch (k smallest hashes)."""
 
     def run(batches):
         make = shingler(p.shingle)
         for b in batches:
-            sets = [make(t) for t in b.column(1).to_pylist()]
+            n, fp, sketch = [], [], []
+            for t in b.column(1):
+                hashes = make(t.as_py())
+                n.append(len(hashes))
+                fp.append(_digest(hashes))
+                sketch.append(hashes[: p.k].copy())
             yield pa.RecordBatch.from_arrays(
-                [
-                    b.column(0),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([s[: p.k] for s in sets], pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "n_shingles", "fp", "sketch"],
+                [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(sketch, pa.list_(pa.int64()))], names=["doc_id", "text_md5", "n_shingles", "fp", "sketch"]
             )
 
-    small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, fp binary, sketch array<long>"
-    )
+    md5 = F.unhex(F.md5("text")) if by_text else F.lit(None).cast("binary")
+    return _texts(docs).select("doc_id", "text", md5.alias("text_md5")).mapInArrow(run, "doc_id long, text_md5 binary, n_shingles long, fp binary, sketch array<long>")
 
 
-def full_sets(docs: DataFrame, p: NearDup) -> DataFrame:
-    """rep, full (the sorted hashes of the whole shingle set, as bytes)."""
+def full_sets(docs: DataFrame, nodes: DataFrame, p: NearDup) -> DataFrame:
+    """rep, full (the sorted hashes of the whole shingle set, as bytes) of nodes (rep, doc_id, fp). A doc_id that comes with
+    several texts stands for the one that has the node's digest; where it comes with that text again, rows repeat."""
 
     def run(batches):
         make = shingler(p.shingle)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([make(t).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["rep", "full"])
+            reps, sets = [], []
+            for rep, text, fp in zip(b.column(0), b.column(1), b.column(2)):
+                hashes = make(text.as_py())
+                if _digest(hashes) == fp.as_py():
+                    reps.append(rep.as_py())
+                    sets.append(hashes.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(sets, pa.binary())], names=["rep", "full"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "rep long, full binary")
+    return _texts(docs).join(nodes.select("doc_id", "rep", "fp"), "doc_id").select("rep", "text", "fp").mapInArrow(run, "rep long, full binary")
 
 
 def _prefix_length(p: NearDup, n: Column) -> Column:
     """How many of a sketch's rarest values need lists. Sets of up to k * num / den values meet only whole sets, so
     there the overlap bound of the sets themselves holds."""
     whole = n - F.ceil(n * p.num / p.den) + 1
-    return F.when(n * p.den <= p.k * p.num, whole).otherwise(F.least(n, F.lit(p.k)) - p.shared() + 1)
+    return F.when(n * p.den <= p.most * p.num, whole).otherwise(F.least(n, F.lit(p.most)) - p.shared() + 1)
 
 
 def rare_lists(nodes: DataFrame, p: NearDup) -> DataFrame:
@@ -137,38 +161,38 @@ def rare_lists(nodes: DataFrame, p: NearDup) -> DataFrame:
     counts = retained.groupBy("v").agg(F.count("*").alias("c")).where("c > 1")
     shared = retained.join(counts, "v")
     w = Window.partitionBy("rep")
-    ranked = shared.withColumn("lone", F.least("n", F.lit(p.k)) - F.count("*").over(w)).withColumn("r", F.row_number().over(w.orderBy("c", "v")))
-    ranked = ranked.withColumn("score", (F.sum("c").over(w) + F.col("lone")) / F.least("n", F.lit(p.k)))
+    ranked = shared.withColumn("lone", F.least("n", F.lit(p.most)) - F.count("*").over(w)).withColumn("r", F.row_number().over(w.orderBy("c", "v")))
+    ranked = ranked.withColumn("score", (F.sum("c").over(w) + F.col("lone")) / F.least("n", F.lit(p.most)))
     return ranked.where(F.col("r") <= _prefix_length(p, F.col("n")) - F.col("lone")).select("v", "rep", "score")
 
 
 def _filtered(pairs: DataFrame, nodes: DataFrame, p: NearDup, loose: bool = False) -> DataFrame:
     """Pairs (a, b) whose set sizes and union-sketch estimate allow the similarity; loose: about a third of it."""
-    num, least = (p.num / 2.5, p.k // 4) if loose else (p.num, p.shared())
+    num, least = (p.num / 2.5, p.most // 4) if loose else (p.num, p.shared())
     side = lambda c: nodes.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
     met = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("n_a", "n_b") * p.den >= F.greatest("n_a", "n_b") * num)
-    union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, p.k)
+    union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, p.most)
     common = F.size(F.array_intersect(F.array_intersect("s_a", "s_b"), union))
-    whole = F.greatest("n_a", "n_b") <= p.k  # then the sketches are the sets
+    whole = F.greatest("n_a", "n_b") <= p.most  # then the sketches are the sets
     exact = F.size(F.array_intersect("s_a", "s_b")) * p.den >= F.size(F.array_union("s_a", "s_b")) * num
     return met.where(F.when(whole, exact).otherwise(common >= least)).select(*pairs.columns)
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, rest: bool) -> DataFrame:
-    """Pairs (a, b) with n_a, n_b, i (hashes in common) and, if asked for, rest and gone: the hashes that only a or only b has."""
+    """Pairs (a, b, score) with n_a, n_b, i (hashes in common) and, if asked for, rest and gone: the hashes that only a or only b has."""
 
     def run(batches):
         for x in batches:
             rows = []
-            for left, right in zip(x.column(2).to_pylist(), x.column(3).to_pylist()):
-                left, right = np.frombuffer(left, np.int64), np.frombuffer(right, np.int64)
+            for left, right in zip(x.column(3), x.column(4)):
+                left, right = np.frombuffer(left.as_buffer(), np.int64), np.frombuffer(right.as_buffer(), np.int64)
                 hit = right[np.minimum(np.searchsorted(right, left), len(right) - 1)] == left if len(right) else np.zeros(len(left), bool)
                 rows.append((len(left), len(right), int(hit.sum()), *((left[~hit], np.setdiff1d(right, left, assume_unique=True)) if rest else (None, None))))
             kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 2
-            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=["a", "b", "n_a", "n_b", "i", "rest", "gone"])
+            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), x.column(2), *(pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds))], names=["a", "b", "score", "n_a", "n_b", "i", "rest", "gone"])
 
     both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("full").alias("fa")), "a").join(sets.select(F.col("rep").alias("b"), F.col("full").alias("fb")), "b")
-    return both.select("a", "b", "fa", "fb").mapInArrow(run, "a long, b long, n_a long, n_b long, i long, rest array<long>, gone array<long>")
+    return both.select("a", "b", "score", "fa", "fb").mapInArrow(run, "a long, b long, score double, n_a long, n_b long, i long, rest array<long>, gone array<long>")
 
 
 def _linked(p: NearDup):
@@ -176,33 +200,37 @@ def _linked(p: NearDup):
 
 
 class _Links:
-    """Verified links so far, pairs tried, and the components they make."""
-
-    def __init__(self, nodes: DataFrame, sets: DataFrame, p: NearDup):
-        self.nodes, self.sets, self.p, self.links, self.tried, self.labels = nodes, sets, p, None, None, None
-
-    def add(self, tried: DataFrame, links: DataFrame) -> None:
-        self.links = links if self.links is None else self.links.unionByName(links)
-        self.tried = tried if self.tried is None else self.tried.unionByName(tried)
-        self.labels = cut(connected_components(self.links, "a", "b"))
-
-    def settle(self, pairs: DataFrame, deltas: DataFrame | None = None) -> None:
-        """Verifies the pairs (x, y) not tried yet; nothing is done if there are none. For members of one hub deltas hold
-        what each has beside the hub's set and lacks of it: that gives the exact overlap without moving whole sets."""
-        new = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        new = cut(new.join(self.tried, ["a", "b"], "left_anti"))
-        release(new.sparkSession)
-        if new.isEmpty():
-            return
-        if deltas is not None:
-            side = lambda c: deltas.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("rest").alias(f"r_{c}"), F.col("gone").alias(f"g_{c}"), F.col("n_h").alias(f"h_{c}"))
-            met = new.join(side("a"), "a").join(side("b"), "b").withColumn("i", F.col("h_a") - F.size(F.array_union("g_a", "g_b")) + F.size(F.array_intersect("r_a", "r_b")))
-            self.add(new, cut(met.where(_linked(self.p)).select("a", "b")))
-        else:
-            self.add(new, cut(_compared(_filtered(new, self.nodes, self.p), self.sets, False).where(_linked(self.p)).select("a", "b")))
+    """The components of listed nodes, as far as verified links have joined them."""
+
+    def __init__(self, nodes: DataFrame, sets: DataFrame, listed: DataFrame, p: NearDup):
+        self.nodes, self.sets, self.p = nodes, sets, p
+        self.labels = listed.select("rep", F.col("rep").alias("c"))
 
     def marked(self, rows: DataFrame, name: str = "c", of: str = "rep") -> DataFrame:
-        return rows.join(self.labels.select(F.col("node").alias(of), F.col("component").alias("_c")), of, "left").withColumn(name, F.coalesce("_c", of)).drop("_c")
+        return rows.join(self.labels.select(F.col("rep").alias(of), F.col("c").alias(name)), of)
+
+    def join(self, links: DataFrame) -> None:
+        """Joins the components of linked nodes (a, b); only links between components enter the contraction."""
+        between = self.marked(self.marked(links.select("a", "b"), "u", "a"), "v", "b").where("u <> v").select("u", "v")
+        parts = connected_components(between)
+        moved = self.labels.join(parts.select(F.col("node").alias("c"), "component"), "c", "left")
+        self.labels = cut(moved.select("rep", F.coalesce("component", "c").alias("c")))
+        release(self.labels.sparkSession)
+
+    def by_sets(self, pairs: DataFrame) -> DataFrame:
+        """The links among pairs (x, y), after the size and sketch filters, by their full sets."""
+        return _compared(_filtered(_ordered(pairs), self.nodes, self.p).withColumn("score", F.lit(0.0)), self.sets, False).where(_linked(self.p)).select("a", "b")
+
+    def by_deltas(self, pairs: DataFrame, deltas: DataFrame) -> DataFrame:
+        """The links among pairs (x, y) of one hub. Deltas hold what each has beside the hub's set and lacks of it: that
+        gives the exact overlap without moving whole sets."""
+        side = lambda c: deltas.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("rest").alias(f"r_{c}"), F.col("gone").alias(f"g_{c}"), F.col("n_h").alias(f"h_{c}"))
+        met = _ordered(pairs).join(side("a"), "a").join(side("b"), "b").withColumn("i", F.col("h_a") - F.size(F.array_union("g_a", "g_b")) + F.size(F.array_intersect("r_a", "r_b")))
+        return met.where(_linked(self.p)).select("a", "b")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _mixed(rows: DataFrame, *keys: str) -> DataFrame:
@@ -211,103 +239,100 @@ def _mixed(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.join(open_, [*keys], "left_semi")
 
 
-def class_components(docs: DataFrame, base: DataFrame, p: NearDup) -> DataFrame:
-    """(rep, component) of all classes that are linked with another; base holds the rows of :func:`sketches`."""
-    nodes = stored(
-        base.where("fp is not null and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")).drop("fp"),
-        "near-nodes",
-    )
+def _outside(group: DataFrame, p: NearDup) -> tuple[DataFrame, DataFrame]:
+    """Of the members (h, rep, n, i, rest, c) of open hubs: (h, rep, n, i) with i counted against C, and the lists
+    (h, e, rep, size) of the rarest hashes outside C that each member needs; size is that of the member's rest."""
+    each = group.select("h", "rep", "n", "i", "c", F.size("rest").alias("size"), F.explode("rest").alias("e"))
+    kinds = each.groupBy("h", "e").agg(F.count("*").alias("d"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    kinds = kinds.join(group.groupBy("h").agg(F.count("*").alias("m")), "h").withColumn("half", F.expr("2 * d >= m")).where("half or lo < hi")
+    met = cut(each.drop("c").join(kinds.select("h", "e", "d", "half"), ["h", "e"]))
+    gain = met.where("half").groupBy("rep").agg(F.count("*").alias("gain"))
+    members = group.select("h", "rep", "n", "i").join(gain, "rep", "left").withColumn("i", F.col("i") + F.coalesce("gain", F.lit(0))).drop("gain")
+    w = Window.partitionBy("rep")
+    rows = met.withColumn("gain", F.count(F.when(F.col("half"), 1)).over(w)).where("not half")
+    rows = rows.withColumn("out", F.col("size") - F.col("gain")).withColumn("lone", F.col("out") - F.count("*").over(w)).withColumn("r", F.row_number().over(w.orderBy("d", "e")))
+    needed = F.greatest(F.lit(1), F.ceil(F.col("n") * p.num / p.den) - F.col("i") - F.col("gain"))
+    return cut(members), cut(rows.where(F.col("r") <= F.col("out") - needed + 1 - F.col("lone")).select("h", "e", "rep", "size"))
+
+
+def class_components(docs: DataFrame, nodes: DataFrame, p: NearDup) -> DataFrame:
+    """(rep, c) of all nodes that share a list with another; nodes: rep, doc_id, fp, n, sketch."""
     lists = stored(rare_lists(nodes, p), "near-lists")
-    listed = lists.select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(listed, "doc_id", "left_semi")
-    # a doc_id may come with several texts, or with the same text again: one set for each different one
-    sets = stored(full_sets(texts, p).dropDuplicates(["rep", "full"]) if _repeats(base) else full_sets(texts, p), "near-sets")
-    links = _Links(nodes, sets, p)
+    listed = cut(lists.select("rep").distinct())
+    sets = full_sets(docs, nodes.join(listed, "rep", "left_semi"), p)
+    sets = stored(sets.dropDuplicates(["rep"]) if _repeats(docs) else sets, "near-sets")
+    links = _Links(nodes, sets, listed, p)
 
-    release(docs.sparkSession)
+    # first pass: each member with the hubs of its lists
     hubs = lists.groupBy("v").agg(F.max(F.struct("score", "rep")).alias("hub")).select("v", F.col("hub.rep").alias("b"), F.col("hub.score").alias("score_b"))
-    pairs = lists.join(hubs, "v").where("rep <> b").groupBy(F.col("rep").alias("a"), "b").agg(F.max("score_b").alias("score_b"))
-    near = stored(_compared(_filtered(pairs.select("a", "b"), nodes, p, loose=True), sets, True), "near-hubs")
-    ordered = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "n_a", "n_b", "i").distinct()
-    links.add(ordered.select("a", "b"), ordered.where(_linked(p)).select("a", "b"))
-
-    last = hubs.select("v", F.struct(F.col("score_b").alias("score"), F.col("b").alias("rep")).alias("last"))
-    for _ in range(p.more_hubs):
-        rows = _mixed(links.marked(lists), "v").join(last, "v")
-        last = cut(rows.where(F.struct("score", "rep") < F.col("last")).groupBy("v").agg(F.max(F.struct("score", "rep")).alias("last")))
-        tops = links.marked(last.select("v", F.col("last.rep").alias("y")), "cy", "y")
-        links.settle(rows.drop("last").join(tops, "v").where("rep <> y and c <> cy").select(F.col("rep").alias("x"), "y"))
-
-    # each member with its highest hub: what it shares with it, and what it has beside it
+    pairs = lists.join(hubs, "v").where("rep <> b").groupBy(F.col("rep").alias("a"), "b").agg(F.max("score_b").alias("score"))
+    near = stored(_compared(_filtered(pairs, nodes, p, loose=True), sets, True), "near-hubs")
+    links.join(near.where(_linked(p)))
+
+    # each member with its highest hub: what it shares with it, what it has beside it and lacks of it
     none = F.array().cast("array<long>")
-    own = near.select(F.col("b").alias("a"), "b", F.col("n_b").alias("n_a"), "n_b", F.col("n_b").alias("i")).distinct().withColumn("rest", none).withColumn("gone", none)
-    scores = hubs.groupBy("b").agg(F.max("score_b").alias("score_b"))
-    highest = near.unionByName(own).join(scores, "b").groupBy("a").agg(F.max_by(F.struct("b", "n_a", "n_b", "i", "rest", "gone"), F.struct("score_b", "b")).alias("m"))
+    own = near.groupBy("b").agg(F.max("score").alias("score"), F.first("n_b").alias("n_b"))
+    own = own.select(F.col("b").alias("a"), "b", "score", F.col("n_b").alias("n_a"), "n_b", F.col("n_b").alias("i"), none.alias("rest"), none.alias("gone"))
+    highest = near.unionByName(own).groupBy("a").agg(F.max_by(F.struct("b", "n_a", "n_b", "i", "rest", "gone"), F.struct("score", "b")).alias("m"))
     hubbed = stored(highest.select(F.col("a").alias("rep"), F.col("m.b").alias("h"), F.col("m.n_a").alias("n"), F.col("m.i").alias("i"), F.col("m.rest").alias("rest"), F.col("m.gone").alias("gone"), F.col("m.n_b").alias("n_h")), "near-hubbed")
     deltas = hubbed.select("rep", "n", "rest", "gone", "n_h")
-
-    release(docs.sparkSession)
-
-    # members of one list under different hubs
-    rows = _mixed(links.marked(lists.select("v", "rep").join(hubbed.select("rep", "h"), "rep", "left")), "v")
-    rows = cut(rows)
+    members, outside = _outside(stored(_mixed(links.marked(hubbed.drop("gone", "n_h")), "h"), "near-open"), p)
+
+    # second pass: members still apart with the next hub of their lists, and with the hubs of the lists outside C
+    rows = cut(_mixed(links.marked(lists), "v"))
+    first = links.marked(hubs.select("v", F.col("b").alias("rep")), "ch").select("v", "ch")
+    tops = rows.join(first, "v").where("c <> ch").groupBy("v").agg(F.max(F.struct("score", "rep", "c")).alias("t"))
+    by_list = rows.join(tops, "v").where("rep <> t.rep and c <> t.c").select(F.col("rep").alias("x"), F.col("t.rep").alias("y"))
+    rest = cut(_mixed(links.marked(outside), "h", "e"))
+    tops = rest.groupBy("h", "e").agg(F.min(F.struct("size", "rep", "c")).alias("t"))
+    by_rest = rest.join(tops, ["h", "e"]).where("rep <> t.rep and c <> t.c").select(F.col("rep").alias("x"), F.col("t.rep").alias("y"))
+    links.join(links.by_sets(by_list).unionByName(links.by_deltas(by_rest, deltas)))
+
+    # last pass: what lists outside C leave open, sizes that are enough alone, and members of one list under different hubs
+    rest = cut(_mixed(links.marked(rest.drop("c")).drop("size"), "h", "e"))
+    left, right = (rest.select("h", "e", F.col("rep").alias(z), F.col("c").alias("c" + z)) for z in "xy")
+    by_rest = left.join(right, ["h", "e"]).where("x < y and cx <> cy").select("x", "y")
+    group = links.marked(_mixed(links.marked(members), "h"), "ch", "h").withColumn("apart", F.col("c") != F.col("ch"))
+    group = cut(group.select("h", "rep", "c", "n", "i", "apart"))
+    kinds = group.select("h", "n", "i", "apart").distinct()
+    k1, k2 = (kinds.select("h", *(F.col(k).alias(k + z) for k in ("n", "i", "apart"))) for z in "xy")
+    enough = k1.where("apartx").join(k2, "h").where(f"{p.num} * (nx + ny) <= {p.num + p.den} * least(ix, iy)")
+    g1, g2 = (group.select("h", F.col("rep").alias(z), *(F.col(k).alias(k + z) for k in ("c", "n", "i", "apart"))) for z in "xy")
+    by_size = enough.join(g1, ["h", "nx", "ix", "apartx"]).join(g2, ["h", "ny", "iy", "aparty"]).where("cx <> cy and x <> y").select("x", "y")
+    rows = cut(_mixed(links.marked(rows.select("v", "rep")).join(hubbed.select("rep", "h"), "rep", "left"), "v"))
     most = rows.where("h is not null").groupBy("v", "h").agg(F.count("*").alias("m")).groupBy("v").agg(F.max_by("h", F.struct("m", "h")).alias("most"))
     other = rows.join(most, "v", "left").where("not (h <=> most) or h is null").select("v", F.col("rep").alias("x"), F.col("c").alias("cx"), F.col("h").alias("hx"))
-    links.settle(other.join(rows.select("v", F.col("rep").alias("y"), "c", "h"), "v").where("x <> y and cx <> c and (hx is null or h is null or hx <> h)").select("x", "y"))
-
-    # C of each hub that is still open: what half of its members share counts as the hub's
-    group = cut(_mixed(links.marked(hubbed.drop("gone", "n_h")), "h").drop("c"))
-    each = group.select("h", "rep", F.explode("rest").alias("e"))
-    half = each.groupBy("h", "e").agg(F.count("*").alias("d")).join(group.groupBy("h").agg(F.count("*").alias("m")), "h").where("2 * d >= m").select("h", "e")
-    gain = each.join(half, ["h", "e"], "left_semi").groupBy("rep").agg(F.count("*").alias("g"))
-    group = cut(group.drop("rest").join(gain, "rep", "left").withColumn("i", F.col("i") + F.coalesce("g", F.lit(0))).drop("g"))
-    each = cut(each.join(half, ["h", "e"], "left_anti").join(group, ["h", "rep"]))
-
-    release(docs.sparkSession)
-
-    # members of one hub that share hashes outside C
-    rest = lambda: _mixed(links.marked(each), "h", "e")
-    rows = cut(rest())
-    weight = rows.groupBy("rep").agg(F.count("*").alias("w"))
-    tops = rows.join(weight, "rep").groupBy("h", "e").agg(F.max(F.struct("w", "rep", "c")).alias("t")).select("h", "e", F.col("t.rep").alias("y"), F.col("t.c").alias("cy"))
-    links.settle(rows.join(tops, ["h", "e"]).where("rep <> y and c <> cy").select(F.col("rep").alias("x"), "y"), deltas)
-    rows = cut(rest())
-    left, right = (rows.select("h", "e", *(F.col(k).alias(k + z) for k in ("rep", "n", "i", "c"))) for z in "xy")
-    shared = left.join(right, ["h", "e"]).where("repx < repy and cx <> cy").groupBy("repx", "repy").agg(F.count("*").alias("s"), *(F.first(k).alias(k) for k in ("nx", "ny", "ix", "iy")))
-    links.settle(shared.where(f"{p.num} * (nx + ny) <= {p.num + p.den} * (least(ix, iy) + s)").select(F.col("repx").alias("x"), F.col("repy").alias("y")), deltas)
-
-    # members of one hub whose sizes and overlaps alone would be enough; those in the hub's component are one already
-    group = _mixed(links.marked(group), "h").join(links.marked(group.select("h").distinct(), "ch", "h"), "h").withColumn("out", F.col("c") != F.col("ch"))
-    group = cut(group.select("h", "rep", "c", "n", "i", "out"))
-    kinds = group.select("h", "n", "i", "out").distinct()
-    k1, k2 = (kinds.select("h", *(F.col(k).alias(k + z) for k in ("n", "i", "out"))) for z in "xy")
-    enough = k1.where("outx").join(k2, "h").where(f"{p.num} * (nx + ny) <= {p.num + p.den} * least(ix, iy)")
-    g1, g2 = (group.select("h", *(F.col(k).alias(k + z) for k in ("rep", "c", "n", "i", "out"))) for z in "xy")
-    met = enough.join(g1, ["h", "nx", "ix", "outx"]).join(g2, ["h", "ny", "iy", "outy"]).where("cx <> cy and repx <> repy")
-    links.settle(met.select(F.col("repx").alias("x"), F.col("repy").alias("y")), deltas)
-    return links.labels.select(F.col("node").alias("rep"), "component")
-
-
-def _repeats(base: DataFrame) -> bool:
+    by_list = other.join(rows.select("v", F.col("rep").alias("y"), "c", "h"), "v").where("x <> y and cx <> c and (hx is null or h is null or hx <> h)").select("x", "y")
+    links.join(links.by_sets(by_list).unionByName(links.by_deltas(by_rest.unionByName(by_size), deltas)))
+    return links.labels
+
+
+def _repeats(docs: DataFrame) -> bool:
     """Whether a doc_id comes more than once."""
-    n = base.where("doc_id is not null").agg(F.count("*"), F.count_distinct("doc_id")).first()
-    return n[0] != n[1]
+    return not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
 
 
-def near_duplicates(docs: DataFrame, params: NearDup = NearDup()) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of docs (columns doc_id, text; others are not read).
+def near_duplicates(docs: DataFrame, params: NearDup = NearDup(), by_text: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for each row of docs (columns doc_id, text; others are not read); by_text
+    adds text_md5 (binary), which with doc_id tells rows apart where doc_ids repeat.
 
     component_id is the smallest doc_id reachable over links, itself included; kept says that it is the row's own.
-    Null or empty texts and texts without words have no shingles and are linked with nothing. Rows with one doc_id count
-    as one document. A null doc_id has a null component_id and is kept, as nothing can stand for it. An empty table gives
-    an empty result.
+    Null or empty texts and texts without words have no shingles and are linked with nothing. Every row is judged by its
+    own text: a doc_id with two texts stands for two documents, a row that comes again has the verdict of the first. A
+    null doc_id has a null component_id and is kept, as nothing can stand for it. An empty table gives an empty result.
     """
-    base = stored(sketches(docs, params), "near-base")
-    classes = base.where("fp is not null and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    with short_shuffles(docs.sparkSession):
-        parts = class_components(docs, base, params)
-    named = classes.join(parts, "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    # the component's smallest class representative is its smallest doc_id: each is the smallest of its class
-    out = base.select("doc_id", "n_shingles", "fp").join(named, "fp", "left")
-    cid = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", cid.alias("component_id"), F.coalesce(F.col("doc_id") == cid, F.lit(True)).alias("kept"))
+    spark = docs.sparkSession
+    base = stored(sketches(docs, params, by_text), "near-base")
+    classes = base.where("fp is not null and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    with short_shuffles(spark):
+        # a doc_id with two texts stands for two classes, so nodes have numbers of their own
+        nodes = stored(classes.withColumn("rep", F.monotonically_increasing_id()), "near-nodes")
+        parts = class_components(docs.select("doc_id", "text"), nodes, params)
+        found = parts.join(nodes.select("rep", "doc_id", "fp"), "rep")
+        lowest = found.groupBy("c").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("m")).where("m > 1")
+        named = stored(found.join(lowest, "c").select("fp", "component_id"), "near-named")
+    named = nodes.select("fp", "doc_id").join(named, "fp", "left").select("fp", F.coalesce("component_id", "doc_id").alias("component_id"))
+    own = ["text_md5"] if by_text else []
+    out = base.select("doc_id", *own, "n_shingles", "fp").join(named, "fp", "left")
+    cid = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return out.select("doc_id", *own, "n_shingles", cid.alias("component_id"), F.coalesce(F.col("doc_id") == cid, F.lit(True)).alias("kept"))
