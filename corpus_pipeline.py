@@ -23,9 +23,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, similarity 0.8 or more) the smallest doc_id stays."""
-    gone = near_dedup.near_duplicates(docs, near_dedup.NearDup(shingle=5, num=80, den=100)).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near duplicates (five-word shingles, similarity 0.8 or more) the smallest doc_id stays.
+
+    Rows go, not doc_ids: a row whose doc_id also stands for another text is judged by its own text. Rows without
+    doc_id, text or words stay; a row that comes again stays or goes with the first.
+    """
+    found = near_dedup.near_duplicates(docs, near_dedup.NearDup(shingle=5, num=80, den=100), by_text=True)
+    gone = found.where("not kept").select(F.col("doc_id").alias("_gone_id"), F.col("text_md5").alias("_gone_md5")).distinct()
+    same = (docs["doc_id"] == gone["_gone_id"]) & (F.unhex(F.md5(docs["text"].cast("binary"))) == gone["_gone_md5"])
+    return docs.join(gone, same, "left_anti")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
