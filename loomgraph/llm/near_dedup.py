@@ -19,7 +19,9 @@ new once:
   has in common with C; this holds for any C. As |x & y| >= t |x|, x needs c >= t |x| - i_x. So the prefix filter holds
   for what is outside C: only the rarest ``outside - needed + 1`` hashes of a member need lists. Members with many edits
   of their own, which nobody shares, have none. The lists are joined with their hubs first, then in full.
-* If the sizes alone would be enough, pairs of (size, overlap) classes that are enough are expanded.
+* Pairs without a common hash outside C have |C| less what either lacks in common. If that is enough already, one member
+  of the hub, the heaviest, is linked with both; else they lack so many hashes of C both that the prefix filter holds for
+  what members lack, with the number that the pair needs.
 * Members of one list with different hubs: the list's next hub first, then those outside its dominant hub with the list.
 
 Components are contracted over what is already known: a pass runs the star algorithm on links between components only.
@@ -240,19 +242,51 @@ def _mixed(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def _outside(group: DataFrame, p: NearDup) -> tuple[DataFrame, DataFrame]:
-    """Of the members (h, rep, n, i, rest, c) of open hubs: (h, rep, n, i) with i counted against C, and the lists
-    (h, e, rep, size) of the rarest hashes outside C that each member needs; size is that of the member's rest."""
+    """Of the members (h, rep, n, n_h, i, rest, gone, c) of open hubs: those with enough in C to be linked by it alone,
+    (h, rep, n_c, w, lacks), and the lists (h, e, rep, size) of the rarest hashes outside C that each member needs; size is
+    that of the member's rest. n_c is the size of C, lacks what a member has not of it, w its weight, see :func:`_lacking`."""
     each = group.select("h", "rep", "n", "i", "c", F.size("rest").alias("size"), F.explode("rest").alias("e"))
     kinds = each.groupBy("h", "e").agg(F.count("*").alias("d"), F.min("c").alias("lo"), F.max("c").alias("hi"))
     kinds = kinds.join(group.groupBy("h").agg(F.count("*").alias("m")), "h").withColumn("half", F.expr("2 * d >= m")).where("half or lo < hi")
     met = cut(each.drop("c").join(kinds.select("h", "e", "d", "half"), ["h", "e"]))
-    gain = met.where("half").groupBy("rep").agg(F.count("*").alias("gain"))
-    members = group.select("h", "rep", "n", "i").join(gain, "rep", "left").withColumn("i", F.col("i") + F.coalesce("gain", F.lit(0))).drop("gain")
+    # of one hub: no more hashes than twice a member has
+    halves = met.where("half").groupBy("h").agg(F.collect_set("e").alias("common"))
+    none = F.array().cast("array<long>")
+    members = group.join(halves, "h", "left").withColumn("common", F.coalesce("common", none))
+    members = members.withColumn("i", F.col("i") + F.size(F.array_intersect("common", "rest"))).where(f"{p.den} * i >= {p.num} * n")
+    members = members.select("h", "rep", (F.col("n_h") + F.size("common")).alias("n_c"), F.expr(f"{p.num + p.den} * i - {p.num} * n").alias("w"), F.array_union("gone", F.array_except("common", "rest")).alias("lacks"))
     w = Window.partitionBy("rep")
     rows = met.withColumn("gain", F.count(F.when(F.col("half"), 1)).over(w)).where("not half")
     rows = rows.withColumn("out", F.col("size") - F.col("gain")).withColumn("lone", F.col("out") - F.count("*").over(w)).withColumn("r", F.row_number().over(w.orderBy("d", "e")))
     needed = F.greatest(F.lit(1), F.ceil(F.col("n") * p.num / p.den) - F.col("i") - F.col("gain"))
-    return cut(members), cut(rows.where(F.col("r") <= F.col("out") - needed + 1 - F.col("lone")).select("h", "e", "rep", "size"))
+    return stored(members, "near-members"), cut(rows.where(F.col("r") <= F.col("out") - needed + 1 - F.col("lone")).select("h", "e", "rep", "size"))
+
+
+def _heaviest(members: DataFrame) -> DataFrame:
+    """(h, y, w_y): the member of each hub that is linked for certain with all that any other is."""
+    return members.groupBy("h").agg(F.max(F.struct("w", "rep")).alias("t")).select("h", F.col("t.rep").alias("y"), F.col("t.w").alias("w_y"))
+
+
+def _lacking(members: DataFrame, links: _Links, p: NearDup) -> DataFrame:
+    """Pairs (x, y) of one hub, in different components, that may be linked without a common hash outside C.
+
+    They have n_c - g_x - g_y + s hashes of C in common, where g is how many each lacks and s how many both lack. With
+    w = (num + den) i - num n for i = n_c - g, that is enough if w_x + w_y + (num + den) s >= (num + den) n_c. So those
+    linked for certain (s = 0) are all linked with the heaviest member; others must lack ``need`` hashes both, and then
+    share one within the ``g - need + 1`` rarest that each lacks."""
+    unit = p.num + p.den
+    tops = links.marked(_heaviest(members), "c_y", "y").select("h", "w_y", "c_y")
+    open_ = _mixed(links.marked(members), "h").join(tops, "h").withColumn("g", F.size("lacks")).withColumn("apart", F.col("c") != F.col("c_y"))
+    need = lambda other: F.greatest(F.lit(1), F.ceil((unit * F.col("n_c") - F.col("w") - F.col(other)) / F.lit(unit)))
+    open_ = open_.withColumn("most", F.col("g") - need("w_y") + 1).where("most > 0")
+    each = open_.select("h", "rep", "c", "n_c", "w", "g", "most", "apart", F.explode("lacks").alias("e"))
+    counts = each.groupBy("h", "e").agg(F.count("*").alias("d"), F.bool_or("apart").alias("any"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    rows = each.join(counts, ["h", "e"]).withColumn("r", F.row_number().over(Window.partitionBy("rep").orderBy("d", "e"))).where("r <= most and any and lo < hi")
+    rows = cut(rows.select("h", "e", "rep", "c", "n_c", "w", "g", "r", "apart"))
+    left = rows.where("apart").withColumnRenamed("rep", "x").withColumnRenamed("c", "cx")
+    right = rows.select("h", "e", F.col("rep").alias("y"), F.col("c").alias("cy"), F.col("w").alias("w_y"), F.col("g").alias("g_y"), F.col("r").alias("r_y"), F.col("apart").alias("apart_y"))
+    both = left.join(right, ["h", "e"]).where((F.col("cx") != F.col("cy")) & (~F.col("apart_y") | (F.col("x") < F.col("y"))) & (F.col("g") - F.col("r") + 1 >= need("w_y")) & (F.col("g_y") - F.col("r_y") + 1 >= need("w_y")))
+    return both.select("x", "y")
 
 
 def class_components(docs: DataFrame, nodes: DataFrame, p: NearDup) -> DataFrame:
@@ -276,7 +310,7 @@ def class_components(docs: DataFrame, nodes: DataFrame, p: NearDup) -> DataFrame
     highest = near.unionByName(own).groupBy("a").agg(F.max_by(F.struct("b", "n_a", "n_b", "i", "rest", "gone"), F.struct("score", "b")).alias("m"))
     hubbed = stored(highest.select(F.col("a").alias("rep"), F.col("m.b").alias("h"), F.col("m.n_a").alias("n"), F.col("m.i").alias("i"), F.col("m.rest").alias("rest"), F.col("m.gone").alias("gone"), F.col("m.n_b").alias("n_h")), "near-hubbed")
     deltas = hubbed.select("rep", "n", "rest", "gone", "n_h")
-    members, outside = _outside(stored(_mixed(links.marked(hubbed.drop("gone", "n_h")), "h"), "near-open"), p)
+    members, outside = _outside(stored(_mixed(links.marked(hubbed), "h"), "near-open"), p)
 
     # second pass: members still apart with the next hub of their lists, and with the hubs of the lists outside C
     rows = cut(_mixed(links.marked(lists), "v"))
@@ -286,24 +320,18 @@ def class_components(docs: DataFrame, nodes: DataFrame, p: NearDup) -> DataFrame
     rest = cut(_mixed(links.marked(outside), "h", "e"))
     tops = rest.groupBy("h", "e").agg(F.min(F.struct("size", "rep", "c")).alias("t"))
     by_rest = rest.join(tops, ["h", "e"]).where("rep <> t.rep and c <> t.c").select(F.col("rep").alias("x"), F.col("t.rep").alias("y"))
-    links.join(links.by_sets(by_list).unionByName(links.by_deltas(by_rest, deltas)))
+    by_weight = members.join(_heaviest(members), "h").where("rep <> y").select(F.col("rep").alias("x"), "y")
+    links.join(links.by_sets(by_list).unionByName(links.by_deltas(by_rest.unionByName(by_weight), deltas)))
 
-    # last pass: what lists outside C leave open, sizes that are enough alone, and members of one list under different hubs
+    # last pass: what lists outside C leave open, pairs by what both lack of C, and members of one list under different hubs
     rest = cut(_mixed(links.marked(rest.drop("c")).drop("size"), "h", "e"))
     left, right = (rest.select("h", "e", F.col("rep").alias(z), F.col("c").alias("c" + z)) for z in "xy")
     by_rest = left.join(right, ["h", "e"]).where("x < y and cx <> cy").select("x", "y")
-    group = links.marked(_mixed(links.marked(members), "h"), "ch", "h").withColumn("apart", F.col("c") != F.col("ch"))
-    group = cut(group.select("h", "rep", "c", "n", "i", "apart"))
-    kinds = group.select("h", "n", "i", "apart").distinct()
-    k1, k2 = (kinds.select("h", *(F.col(k).alias(k + z) for k in ("n", "i", "apart"))) for z in "xy")
-    enough = k1.where("apartx").join(k2, "h").where(f"{p.num} * (nx + ny) <= {p.num + p.den} * least(ix, iy)")
-    g1, g2 = (group.select("h", F.col("rep").alias(z), *(F.col(k).alias(k + z) for k in ("c", "n", "i", "apart"))) for z in "xy")
-    by_size = enough.join(g1, ["h", "nx", "ix", "apartx"]).join(g2, ["h", "ny", "iy", "aparty"]).where("cx <> cy and x <> y").select("x", "y")
     rows = cut(_mixed(links.marked(rows.select("v", "rep")).join(hubbed.select("rep", "h"), "rep", "left"), "v"))
     most = rows.where("h is not null").groupBy("v", "h").agg(F.count("*").alias("m")).groupBy("v").agg(F.max_by("h", F.struct("m", "h")).alias("most"))
     other = rows.join(most, "v", "left").where("not (h <=> most) or h is null").select("v", F.col("rep").alias("x"), F.col("c").alias("cx"), F.col("h").alias("hx"))
     by_list = other.join(rows.select("v", F.col("rep").alias("y"), "c", "h"), "v").where("x <> y and cx <> c and (hx is null or h is null or hx <> h)").select("x", "y")
-    links.join(links.by_sets(by_list).unionByName(links.by_deltas(by_rest.unionByName(by_size), deltas)))
+    links.join(links.by_sets(by_list).unionByName(links.by_deltas(by_rest.unionByName(_lacking(members, links, p)), deltas)))
     return links.labels
 
 
