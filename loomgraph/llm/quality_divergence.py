@@ -54,7 +54,12 @@ def features(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     d = d.withColumn("_lines", lines)
     n = F.size("_w")
-    d = d.withColumn("_g", F.when(n >= 8, F.transform(F.sequence(F.lit(1), n - 7), lambda i: F.xxhash64(F.slice("_w", i, 8)))))
+    # windows of eight words from hashes of one, two and four
+    d = d.withColumn("_h", F.when(n >= 8, F.transform("_w", lambda w: F.xxhash64(w))))
+    for k in (1, 2, 4):
+        m = F.size("_h") - k
+        d = d.withColumn("_h", F.zip_with(F.slice("_h", F.lit(1), m), F.slice("_h", F.lit(k + 1), m), lambda a, b: F.xxhash64(a, b)))
+    d = d.withColumnRenamed("_h", "_g")
     d = d.withColumn("_twice", F.size(F.array_distinct("_g")) < F.size("_g"))
     d = d.withColumn("_s", F.when(F.col("_twice"), F.array_sort(F.transform("_g", lambda g, i: F.struct(g.alias("g"), i.alias("i"))))))
     same = lambda x, j: F.coalesce(F.get("_s", j)["g"] == x["g"], F.lit(False))
@@ -70,14 +75,16 @@ def features(docs: DataFrame) -> DataFrame:
     chars = F.array(*(a - b for a, b in zip(sizes, sizes[1:])), sizes[-1])
     listed = F.create_map(*(x for lang, words in COMMON.items() for x in (F.lit(lang), F.array(*map(F.lit, words)))))
     d = d.withColumn("_list", F.try_element_at(listed, F.coalesce(F.col("lang").cast("string"), F.lit(""))))
-    d = d.withColumn("_c", F.filter(F.transform("_w", F.lower), lambda w: F.array_contains("_list", w)))
+    # words of any list first, by one lookup; few are left for the language's own
+    any_list = sorted({w for words in COMMON.values() for w in words})
+    d = d.withColumn("_c", F.filter(F.transform(F.filter("_w", lambda w: F.lower(w).isin(any_list)), F.lower), lambda w: F.array_contains("_list", w)))
     hits = F.transform("_list", lambda w: F.size(F.filter("_c", lambda c: c == w)))
     n_words, n_repeat = F.size("_w").cast("long"), F.coalesce(covered, F.lit(0)).cast("long")
     return d.select(
         *docs.columns,
         n_words.alias("n_words"),
-        F.length(F.regexp_replace("_t", SPACE, "")).cast("long").alias("word_chars"),
-        (F.length("_t") - F.length(F.translate("_t", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+        (sizes[0] - (sizes[1] - sizes[2])).cast("long").alias("word_chars"),  # less what the second class took
+        F.length(F.regexp_replace("_t", "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         n_repeat.alias("n_repeat_words"),
         ((n_words < 20) | (100 * n_repeat > 30 * n_words)).alias("base_failed"),
@@ -130,10 +137,9 @@ def quality(docs: DataFrame, params: Divergence = Divergence()) -> DataFrame:
 
 
 def passing(docs: DataFrame, params: Divergence = Divergence()) -> DataFrame:
-    """The rows of docs that are kept, with docs' columns only. Reads docs twice instead of shuffling texts."""
-    refs = references(features(docs.select("text", "lang")), params)
-    met = judged(features(docs.select(F.struct("*").alias("_row"), "text", "lang")), refs, params)
-    return met.select(F.inline(F.when(F.col("kept"), F.array("_row"))))  # no filter, for the same reason
+    """The rows of docs that are kept, with docs' columns only. Features are made once and stored beside their rows."""
+    feats = stored(features(docs.select(F.struct("*").alias("_row"), "text", "lang")).drop("text"), "quality-rows")
+    return judged(feats, references(feats, params), params).where("kept").select("_row.*")
 
 
 def oracle(p: Divergence = Divergence()) -> str:
