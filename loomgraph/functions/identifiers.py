@@ -1,11 +1,14 @@
-"""Minting and normalising of IRIs, DOIs, ORCIDs and other identifiers. Column expressions only."""
+"""Minting and normalising of IRIs, DOIs, ORCIDs and other identifiers. Column expressions; Arrow only for entities."""
 
 from __future__ import annotations
 
+import html
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from loomgraph.functions.nt import strip
+from loomgraph.functions.text import arrow
 
 #: RFC 3986, appendix B: 2 scheme, 4 authority, 5 path, 7 query, 9 fragment.
 URI = r"^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?"
@@ -35,7 +38,7 @@ def hash12(x: Column) -> Column:
 
 def named_iri(base: str, kind: str, name: Column) -> Column:
     """An IRI by the hash of a trimmed lower-case name: organisations, periodicals."""
-    return joined(base, F.concat(F.lit(f"{kind}/"), hash12(F.lower(strip(name)))))
+    return joined(base, F.concat(F.lit(f"id/{kind}/"), hash12(F.lower(strip(name)))))
 
 
 def percent(x: Column, safe: str = "") -> Column:
@@ -98,11 +101,15 @@ def csv_doi(x: Column) -> Column:
     return F.replace(F.replace(F.replace(out, F.lit("\\textunderscore"), F.lit("_")), F.lit("\\_"), F.lit("_")), F.lit(" "), F.lit(""))
 
 
-def first_doi(x: Column, stop: str = r"\s\"") -> Column:
-    """The first DOI of a BibTeX value in lower case, null without one; it ends at space or quote, or at stop."""
-    out = F.regexp_extract(F.regexp_replace(x, r"<[^>]+>", " "), rf"(10\.[0-9]{{4,9}}/[^{stop}]+)", 1)
-    out = F.lower(F.regexp_replace(out, r"[.,;]+$", ""))
-    return F.when(out != "", out)
+def first_doi(x: Column) -> Column:
+    """The first DOI of a BibTeX value in lower case, null without one. Tags, entities (twice encoded too), encoded
+    underscores and remarks on open access go first; a DOI ends at space or quote, without closing ``.,;``."""
+    t = strip(F.regexp_replace(x, r"<[^>]+>", ""))
+    coded = F.contains(t, F.lit("&"))
+    t = F.when(coded, arrow(lambda v: html.unescape(html.unescape(v)))(F.when(coded, t))).otherwise(t)
+    t = F.replace(F.regexp_replace(t, r"(?i)\{\\textunderscore\s*\}", "_"), F.lit("\\_"), F.lit("_"))
+    out = F.regexp_extract(F.regexp_replace(t, r"(?i)\(open access\)", ""), r"(10\.[0-9]{4,9}/[^\s\"]+)", 1)
+    return F.lower(F.when(out != "", F.regexp_replace(out, r"[.,;]+$", "")))
 
 
 def doi_url(x: Column) -> Column:
@@ -124,8 +131,9 @@ def link_key(x: Column) -> Column:
 
 
 def orcid(x: Column) -> Column:
-    out = F.regexp_extract(F.regexp_replace(x, r"\s", ""), r"([0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{3}[0-9Xx])", 1)
-    return F.when(out != "", F.upper(out))
+    """The first ORCID in a text, spaces left out; its check character is a digit or a capital X."""
+    out = F.regexp_extract(F.regexp_replace(x, r"(?U)\s", ""), r"([0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{3}[0-9X])", 1)
+    return F.when(out != "", out)
 
 
 def github_repository(x: Column) -> Column:
@@ -147,14 +155,41 @@ def dblp_pid(x: Column) -> Column:
     return F.when(out != "", out)
 
 
+def first_of(meta: Column, *keys: str) -> Column:
+    """The first value of a map's keys that is there and not empty."""
+    values = [F.try_element_at(meta, F.lit(k)) for k in keys]
+    return F.coalesce(*(F.when(v != "", v) for v in values))
+
+
 def person_iri(base: str, name: Column, meta: Column) -> Column:
     """By ORCID, else university number (unless NA), else the hash of the name and the sorted remarks."""
-    oid = orcid(F.coalesce(F.try_element_at(meta, F.lit("orcid")), F.try_element_at(meta, F.lit("ORCID"))))
-    uni = F.coalesce(*(F.try_element_at(meta, F.lit(k)) for k in ("UNI-ID", "uni-id", "Uni-ID")))
+    oid, uni = orcid(first_of(meta, "orcid", "ORCID")), first_of(meta, "UNI-ID", "uni-id", "uniId")
     pairs = F.array_join(F.transform(F.array_sort(F.map_entries(meta)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
-    return joined(base, F.when(oid.isNotNull(), F.concat(F.lit("person/orcid/"), oid)).when(uni.isNotNull() & (F.upper(uni) != "NA"), F.concat(F.lit("person/uni/"), uni)).otherwise(F.concat(F.lit("person/hash/"), hash12(F.concat(name, F.lit("|"), pairs)))))
+    by_number = F.when(F.upper(uni) != "NA", joined(base, F.concat(F.lit("id/person/uni/"), uni)))
+    return F.coalesce(F.concat(F.lit("https://orcid.org/"), oid), by_number, joined(base, F.concat(F.lit("id/person/hash/"), hash12(F.concat(name, F.lit("|"), pairs)))))
+
+
+def affiliation_iri(base: str, ror: Column, ident: Column, name: Column, country: Column) -> Column:
+    """By ROR, else identifier, else the hash of name and country code."""
+    some = lambda c: F.when(F.trim(c) != "", F.trim(c))
+    text = lambda c: F.lower(F.coalesce(F.trim(c), F.lit("")))
+    return F.coalesce(some(ror), some(ident), joined(base, F.concat(F.lit("id/org/"), F.sha1(F.concat(F.lit("org::"), text(name), F.lit("|"), text(country)).cast("binary")))))
 
 
 def search_text(x: Column, longest: int = 300) -> Column:
-    """A title as a search takes it: controls, bars, quotes, dashes and punctuation as spaces, cut to longest."""
-    return F.substring(F.trim(F.regexp_replace(F.regexp_replace(x, r"[\p{Cc}\p{P}|^`~$+=<>]", " "), r"(?U)\s+", " ")), 1, longest)
+    """A title as a search takes it: letters, digits and underscores, all else as single spaces, cut to longest."""
+    return F.substring(strip(F.regexp_replace(x, r"(?U)[^\p{L}\p{N}_]+", " ")), 1, longest)
+
+
+def work_keys(doi: Column, extended: bool = True) -> Column:
+    """The cache keys under which the work of a DOI in any form may be, in order of preference; none without a DOI."""
+    url = doi_url(doi)
+    forms = F.array(url, F.concat(F.lit("http://"), F.substring(url, 9, 1 << 30)))
+    return F.when(url.isNotNull(), F.transform(forms, lambda u: F.concat(F.lit("work::"), u, F.lit(f"::xpac={extended}")))).otherwise(F.array().cast("array<string>"))
+
+
+def search_keys(title: Column, extended: bool = True, sizes: tuple[int, ...] = (5, 10, 3)) -> Column:
+    """The cache keys of searches for a title, by page size; none for titles of fewer than five characters."""
+    text = search_text(title)
+    keys = F.array(*(F.concat(F.lit(f"search::{n}::xpac={extended}::"), text) for n in sizes))
+    return F.when(F.length(text) >= 5, keys).otherwise(F.array().cast("array<string>"))

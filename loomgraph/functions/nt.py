@@ -100,30 +100,34 @@ def parsed(lines: DataFrame, dialect: str = "lenient", column: str = "value") ->
     """
     d = DIALECTS[dialect]
     b, gap = d["bnode"], d["space"]
-    subject = f"(?:{IRI}|{b})" if b else IRI
+    node = rf"(?:{IRI}|{b})" if b else rf"{IRI}()"
     term = "|".join([IRI, b or r"(?!)()", LITERAL + r"(?:@([A-Za-z]++(?:-[A-Za-z0-9]++)*+)|\^\^<([^<>]*+)>)?+"])
-    pattern = rf"(?s)^\s*+{subject if b else subject + '(?!)()|^' + IRI}{gap}<([^<>]++)>{gap}(?:{term})\s*+\.\s*+{d['tail']}\s*$"
-    if not b:
-        pattern = rf"(?s)^\s*+{IRI}(){gap}<([^<>]++)>{gap}(?:{term})\s*+\.\s*+()$"
+    # the first characters of subject and object tell their kinds
+    pattern = rf"(?s)^\s*+(?=(.)){node}{gap}<([^<>]++)>{gap}(?=(.))(?:{term})\s*+\.\s*+{d['tail'] if b else '()'}\s*$"
     line = F.col(column)
-    hit = line.rlike(pattern)
-    part = lambda i: F.regexp_extract(line, pattern, i)
-    blank = line.rlike(r"^\s*(#.*)?$") | line.isNull()
-    is_iri, is_lit = part(4) != "", line.rlike(rf'^\s*+(?:<[^<>]*+>|_:\S++)\s*+<[^<>]*+>\s*+"')
-    empty_iri = line.rlike(r"^\s*+(?:<[^<>]*+>|_:\S++)\s*+<[^<>]*+>\s*+<>")
-    out = lines.withColumn("_hit", hit if dialect != "strict" else F.when(hit | blank, hit).otherwise(F.raise_error(F.concat(F.lit("not a triple: "), F.substring(line, 1, 200))).cast("boolean")))
-    pick = lambda c: F.when(F.col("_hit"), c)
+    # all groups by one match: no line of a file holds a line end, so it can stand between them; other texts are asked group by group
+    joined = F.split(F.regexp_replace(line, pattern, "\n".join(f"${i}" for i in range(1, 12))), "\n", -1)
+    each = F.when(line.rlike(pattern), F.array(*(F.regexp_extract(line, pattern, i) for i in range(1, 12))))
+    out = lines.withColumn("_g", F.when(F.contains(line, F.lit("\n")), each).otherwise(joined))
+    hit = F.coalesce(F.size("_g") == 11, F.lit(False))
+    if dialect == "strict":
+        blank = line.rlike(r"^\s*(#.*)?$") | line.isNull()
+        bad = F.raise_error(F.concat(F.lit("not a triple: "), F.substring(line, 1, 200))).cast("array<string>")
+        out = out.withColumn("_g", F.when(hit | blank, F.col("_g")).otherwise(bad))
+    out = out.withColumn("_g", F.when(hit, F.col("_g")))
+    part = lambda *i: F.concat(*(F.get("_g", F.lit(k - 1)) for k in i))
+    kind = lambda i: F.when(part(i) == "<", "iri").when(part(i) == '"', "literal").when(part(i).isNotNull(), "bnode")
     null = lambda c: F.when(c != "", c)
     return (
-        out.withColumn("s_kind", pick(F.when(line.rlike(r"^\s*+<"), "iri").otherwise("bnode")))
-        .withColumn("s", pick(F.concat(part(1), part(2))))
-        .withColumn("p", pick(part(3)))
-        .withColumn("o_kind", pick(F.when(is_lit, "literal").when(is_iri | empty_iri, "iri").otherwise("bnode")))
-        .withColumn("o", pick(F.concat(part(4), part(5), part(6))))
-        .withColumn("o_lang", pick(null(part(7))))
-        .withColumn("o_dt", pick(null(part(8))))
-        .withColumn("comment", pick(null(part(9))))
-        .drop("_hit")
+        out.withColumn("s_kind", kind(1))
+        .withColumn("s", part(2, 3))
+        .withColumn("p", part(4))
+        .withColumn("o_kind", kind(5))
+        .withColumn("o", part(6, 7, 8))
+        .withColumn("o_lang", null(part(9)))
+        .withColumn("o_dt", null(part(10)))
+        .withColumn("comment", null(part(11)))
+        .drop("_g")
     )
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
@@ -61,28 +63,30 @@ def names_match(a: str, b: str) -> bool:
     return bool(s and s == t and g and len(g) == len(h) and all(x == y or (1 in (len(x), len(y)) and x[0] == y[0]) for x, y in zip(g, h)))
 
 
-def _pairwise(f, kind):
-    @pandas_udf(kind)
-    def g(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None or y is None else f(x, y) for x, y in zip(a, b)], dtype=object)
+@lru_cache(maxsize=None)
+def _arrow(f: Callable, kind: str):
+    """One Arrow function for each plain function of one or two texts; null for null."""
+    if kind == "string":
 
-    return g
+        @pandas_udf(kind)
+        def one(a: pd.Series) -> pd.Series:
+            return pd.Series([None if x is None else f(x) for x in a], dtype=object)
 
+        return one
 
-def _each(f):
-    @pandas_udf("string")
-    def g(a: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None else f(x) for x in a], dtype=object)
+    @pandas_udf(kind)
+    def two(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or y is None else f(x, y) for x, y in zip(a, b)], dtype=object)
 
-    return g
+    return two
 
 
-folded_of = lambda a: _each(folded)(a)
-tokens_sorted_of = lambda a: _each(tokens_sorted)(a)
-block_ratio_of = lambda a, b: _pairwise(block_ratio, "double")(a, b)
-indel_ratio_of = lambda a, b: _pairwise(indel_ratio, "double")(a, b)
-token_sort_ratio_of = lambda a, b: _pairwise(token_sort_ratio, "double")(a, b)
-names_match_of = lambda a, b: _pairwise(names_match, "boolean")(a, b)
+folded_of = lambda a: _arrow(folded, "string")(a)
+tokens_sorted_of = lambda a: _arrow(tokens_sorted, "string")(a)
+block_ratio_of = lambda a, b: _arrow(block_ratio, "double")(a, b)
+indel_ratio_of = lambda a, b: _arrow(indel_ratio, "double")(a, b)
+token_sort_ratio_of = lambda a, b: _arrow(token_sort_ratio, "double")(a, b)
+names_match_of = lambda a, b: _arrow(names_match, "boolean")(a, b)
 
 
 def mentions(text: str, window: int = 30, limit: int = 50) -> list[dict]:
@@ -96,3 +100,8 @@ def mentions(text: str, window: int = 30, limit: int = 50) -> list[dict]:
             seen.add((url, context))
             out.append({"url": url, "context": context})
     return out
+
+
+def surname(name: str) -> str:
+    """The folded surname, by which names that match are equal."""
+    return name_parts(name)[0]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomgraph.functions.identifiers import github_repository, serializable
+from loomgraph.plans.scratch import cut
 
 ANSWER = "struct<paper_uri:string,related_github:array<struct<url:string,confidence:string,reason:string>>>"
 
@@ -35,10 +36,25 @@ def repositories(answers: DataFrame, predicate: str, minimum: float = 0.6, state
 
 
 def within_budget(rows: DataFrame, tokens: str, order: list[str], limit: int, day: str | None = None) -> DataFrame:
-    """rows up to the first whose running sum of tokens exceeds the limit, for each day; rows after it stop too. The
-    ledger of one day is a sequence by definition, so a day's rows are summed in order."""
-    w = Window.partitionBy(*([day] if day else [F.lit(0)])).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("running", F.sum(tokens).over(w)).where(F.col("running") <= limit)
+    """rows up to the first whose running sum of tokens exceeds the limit, for each day; rows after it stop too. tokens are
+    not negative. Rows are dealt by ranges of day and order, sums of earlier ranges are added to those within one: no day
+    passes through one task."""
+    keys = [day] if day else []
+    dealt = cut(rows.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()))
+    sums = dealt.groupBy(*keys, "_range").agg(F.sum(tokens).alias("_sum"))
+    # one row for each range, or range and day
+    earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    base = sums.select(*keys, "_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy(*keys, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    met = dealt.withColumn("_inside", F.sum(tokens).over(inside)).join(base.select(*(F.col(k).alias(f"_k_{k}") for k in keys), F.col("_range").alias("_r"), "_base"), _same(keys))
+    return met.withColumn("running", F.col("_base") + F.col("_inside")).where(F.col("running") <= limit).select(*rows.columns, "running")
+
+
+def _same(keys: list[str]) -> Column:
+    on = F.col("_range") == F.col("_r")
+    for k in keys:
+        on &= F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return on
 
 
 def pending(prompts: DataFrame, done: DataFrame, only_ok: bool = True) -> DataFrame:

@@ -19,7 +19,7 @@ def bib_triples(rows: DataFrame, base: str) -> DataFrame:
     some = lambda c: F.when(F.trim(c) != "", F.trim(c))
     doi, key, title, date = first_doi(field("doi")), some(F.col("key")), some(field("title")), some(field("year", "date"))
     root = F.lit(base.rstrip("/"))
-    work = F.concat(root, F.lit("/publication/ris/"), F.coalesce(F.concat(F.lit("doi/"), percent(doi)), F.concat(F.lit("bib/"), percent(key)), F.concat(F.lit("hash/"), hash12(F.concat(space_normal(F.coalesce(title, F.lit(""))), F.lit("||"), F.coalesce(date, F.lit("")))))))
+    work = F.concat(root, F.lit("/publication/ris/"), F.coalesce(F.concat(F.lit("doi/"), percent(doi)), F.concat(F.lit("bib/"), percent(key)), F.concat(F.lit("hash/"), hash12(F.lower(F.concat(space_normal(F.coalesce(title, F.lit(""))), F.lit("||"), space_normal(F.coalesce(date, F.lit("")))))))))
     named = lambda kind, c: F.when(some(c).isNotNull(), F.concat(root, F.lit(f"/{kind}/"), hash12(F.lower(space_normal(c)))))
     d = d.withColumn("_w", work).withColumn("_pages", pages(field("pages"))).withColumn("_a", people_of(field("author"))).withColumn("_e", people_of(field("editor")))
     w = F.col("_w")

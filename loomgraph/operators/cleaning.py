@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomgraph.functions.nt import escape, unescape
-from loomgraph.functions.text import name_corrupt, name_repaired, name_score
+from loomgraph.functions.names import name_corrupt, name_repaired, name_score, problem_name_repaired
 
 
 def first_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -40,6 +40,16 @@ def cleaned_names(triples: DataFrame, predicate: str, drop_corrupt: bool = True,
     return names.unionByName(rest).select(*triples.columns, "state")
 
 
+def problem_names(triples: DataFrame, predicate: str | None = None, odd_quotes: bool = False) -> DataFrame:
+    """triples whose literals of a predicate, or all literals, are mended (see problem_name_repaired): o (escaped again),
+    changed, and reasons to look at what is left (see suspicious; an empty array for other rows). Works on streams too."""
+    wanted = F.col("o_kind") == "literal" if predicate is None else (F.col("p") == predicate) & (F.col("o_kind") == "literal")
+    done = triples.withColumn("_plain", problem_name_repaired(F.when(wanted, unescape(F.col("o")))))
+    done = done.withColumn("_new", F.coalesce(escape(F.col("_plain"), "full"), F.col("o")))
+    reasons = F.when(F.col("_plain").isNotNull(), suspicious(F.col("_new"), F.col("_plain"), odd_quotes)).otherwise(F.array().cast("array<string>"))
+    return done.withColumn("changed", ~F.col("_new").eqNullSafe(F.col("o"))).withColumn("reasons", reasons).withColumn("o", F.col("_new")).select(*triples.columns, "changed", "reasons")
+
+
 def literals_containing(triples: DataFrame, predicate: str, text: str = '\\"') -> DataFrame:
     return triples.where((F.col("p") == predicate) & (F.col("o_kind") == "literal") & F.contains(F.col("o"), F.lit(text)))
 
@@ -49,9 +59,9 @@ def suspicious(escaped: Column, plain: Column, odd_quotes: bool = False) -> Colu
     odd = F.when((F.length(plain) - F.length(F.replace(plain, F.lit('"'), F.lit("")))) % 2 == 1, "odd_quote_count") if odd_quotes else F.lit(None).cast("string")
     return F.array_compact(
         F.array(
-            F.when(escaped.rlike(r'\\\\\s*\\"'), "raw_escaped_umlaut_pattern"),
-            F.when(escaped.rlike(r"(?U)\\\\(ss|SS)\b"), "raw_escaped_sharp_s_pattern"),
-            F.when(plain.rlike(r"(?:^|\s)[äöüÄÖÜ](?:\s|$)"), "isolated_umlaut_token"),
+            F.when(escaped.rlike(r'(?U)\\\\\s*\\"\s*\{?\s*[A-Za-z]\s*\}?'), "raw_escaped_umlaut_pattern"),
+            F.when(escaped.rlike(r"(?U)\\\\\s*(ss|SS)\b"), "raw_escaped_sharp_s_pattern"),
+            F.when(plain.rlike(r"(?U)(?:^|\s)[äöüÄÖÜ](?:\s|$)"), "isolated_umlaut_token"),
             odd,
         )
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from loomgraph.functions.identifiers import csv_doi, http_iri, joined, named_iri, orcid, person_iri
+from loomgraph.functions.identifiers import csv_doi, first_of, http_iri, joined, named_iri, orcid, person_iri
 from loomgraph.functions.nt import strip
 from loomgraph.functions.text import schema_type
 from loomgraph.operators.graph import DCTERMS, RDF_TYPE, XSD, emitted, schema, triple
@@ -38,26 +39,31 @@ def listed(x: Column) -> Column:
 
 
 def identifiers(x: Column) -> Column:
-    """(typ, val) of each ``TYPE: value`` of a semicolon list; without a type UNKNOWN."""
-    typed = lambda p: F.contains(p, F.lit(":")) & ~p.rlike("^https?://")
-    return F.transform(listed(x), lambda p: F.struct(F.when(typed(p), F.upper(strip(F.substring_index(p, ":", 1)))).otherwise("UNKNOWN").alias("typ"), F.when(typed(p), strip(F.regexp_replace(p, "^[^:]*:", ""))).otherwise(p).alias("val")))
+    """(typ, val) of each ``TYPE: value`` of a semicolon list, the type in capitals; parts of another form are UNKNOWN."""
+    form = r"^([A-Za-z0-9_-]+)(?U:\s*):(?U:\s*)(\S.*)$"
+    typed = lambda p: p.rlike(form)
+    return F.transform(listed(x), lambda p: F.struct(F.when(typed(p), F.upper(F.regexp_extract(p, form, 1))).otherwise("UNKNOWN").alias("typ"), F.when(typed(p), strip(F.regexp_extract(p, form, 2))).otherwise(p).alias("val")))
+
+
+_REMARK = re.compile(r"([A-Za-z0-9_-]+)\s*:\s*(\S.*)")
 
 
 def person_cell(cell: str) -> list[dict]:
-    """Persons ``Name (key: value, ...)`` of a semicolon list. A remark without a key is token_N, N its place."""
+    """Persons ``Name (key: value, ...)`` of a semicolon list. The remarks begin at the first bracket after the name and
+    end with the part; one that has no key and value is token_N, N its place among the keys. Parts with line breaks are
+    no persons."""
     out = []
-    for part in re.split(r";(?![^()]*\))", cell):
-        part = part.strip()
-        if not part:
+    for part in (p.strip() for p in cell.split(";")):
+        if not part or "\n" in part:
             continue
-        name, remark = part, ""
-        if part.endswith(")") and "(" in part:
-            name, _, remark = part[:-1].partition("(")
+        opening = part.find("(", 1) if part.endswith(")") else -1
         meta: dict[str, str] = {}
-        for chunk in filter(None, (c.strip() for c in remark.split(","))):
-            key, colon, value = chunk.partition(":")
-            meta[key.strip() if colon else f"token_{len(meta) + 1}"] = (value if colon else chunk).strip()
-        out.append({"name": name.strip(), "meta": meta})
+        if 0 < opening < len(part) - 2:
+            for remark in filter(None, map(str.strip, part[opening + 1 : -1].split(","))):
+                m = _REMARK.fullmatch(remark)
+                meta[m[1] if m else f"token_{len(meta) + 1}"] = m[2] if m else remark
+            part = part[:opening]
+        out.append({"name": part.strip(), "meta": meta})
     return out
 
 
@@ -68,7 +74,7 @@ def persons(x: pd.Series) -> pd.Series:
 
 def raw_layer(rows: DataFrame, base: str) -> DataFrame:
     """A triple for each non-empty cell of publications (id and any columns)."""
-    pub = joined(base, F.concat(F.lit("publication/"), F.trim("id")))
+    pub = joined(base, F.concat(F.lit("id/publication/ris/"), F.trim("id")))
 
     def cell(c: str) -> list[Column]:
         v = strip(F.col(f"`{c}`"))
@@ -88,7 +94,7 @@ def raw_layer(rows: DataFrame, base: str) -> DataFrame:
 def semantic_layer(rows: DataFrame, base: str) -> DataFrame:
     """The schema.org triples of publications with the columns of the publication export; a bag."""
     col = lambda c: strip(F.coalesce(F.col(c) if c in rows.columns else F.lit(None).cast("string"), F.lit("")))
-    pub = joined(base, F.concat(F.lit("publication/"), F.trim("id")))
+    pub = joined(base, F.concat(F.lit("id/publication/ris/"), F.trim("id")))
     lang = F.lower(F.get(listed(col("sprachen")), F.lit(0)))
     some = lambda c: F.when(c != "", c)
     journal = F.when(col("fachzeitschrift") != "", named_iri(base, "periodical", col("fachzeitschrift")))
@@ -142,13 +148,27 @@ def semantic_layer(rows: DataFrame, base: str) -> DataFrame:
     )
 
 
+def publication_triples(rows: DataFrame, base: str, raw: bool = True, semantic: bool = True, limit: int = 0) -> DataFrame:
+    """Both layers of publications and their persons, or one of the layers; of the first rows only if a limit is given."""
+    if not base.startswith("http"):
+        raise ValueError(f"not an http(s) base: {base!r}")
+    rows = rows.limit(limit) if limit else rows
+    layers = [raw_layer(rows, base)] if raw else []
+    if semantic:
+        layers.append(semantic_layer(rows, base))
+        layers += [contributors(rows, base, column, role) for column, role in (("autoren", "author"), ("herausgeber", "editor")) if column in rows.columns]
+    if not layers:
+        raise ValueError("no layer asked for")
+    return reduce(DataFrame.unionByName, layers)
+
+
 def contributors(rows: DataFrame, base: str, column: str, predicate: str) -> DataFrame:
     """Person triples of a person cell, and the link of the publication to each: authors and editors alike."""
-    pub = joined(base, F.concat(F.lit("publication/"), F.trim("id")))
+    pub = joined(base, F.concat(F.lit("id/publication/ris/"), F.trim("id")))
     each = rows.where(F.coalesce(F.trim("id"), F.lit("")) != "").select(pub.alias("pub"), F.explode(persons(F.col(column))).alias("x")).withColumn("who", person_iri(base, F.col("x.name"), F.col("x.meta")))
     meta, who = F.col("x.meta"), F.col("who")
     uni = F.try_element_at(meta, F.lit("UNI-ID"))
-    oid = orcid(F.coalesce(F.try_element_at(meta, F.lit("orcid")), F.try_element_at(meta, F.lit("ORCID"))))
+    oid = orcid(first_of(meta, "orcid", "ORCID"))
     rest = F.filter(F.map_entries(meta), lambda e: ~e["key"].isin("UNI-ID", "orcid", "ORCID"))
     return emitted(
         each,

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loomgraph.functions.identifiers import affiliation_iri, openalex_institution
+from loomgraph.functions.payloads import INSTITUTION, institution_places
 from loomgraph.operators.graph import RDF_TYPE, XSD, emitted, schema, triple
 
 
@@ -100,28 +102,83 @@ def geography(orgs: DataFrame) -> DataFrame:
     return emitted(
         orgs,
         triple(org, schema("addressLocality"), blank("city")),
-        triple(org, schema("addressCountry"), F.coalesce(blank("country"), code)),
-        triple(org, schema("containedInPlace"), blank("continent")),
+        triple(org, schema("addressCountry"), F.coalesce(blank("country"), F.when(code != "", code))),
+        triple(org, schema("continent"), blank("continent")),
         triple(org, schema("latitude"), F.col("latitude").cast("string"), datatype=XSD + "double"),
         triple(org, schema("longitude"), F.col("longitude").cast("string"), datatype=XSD + "double"),
     )
 
 
 def missing_institutions(orgs: DataFrame) -> DataFrame:
-    """What geography() says, and country code, type, name (else fallback) and sameAs of aliases, id and ror without
+    """What geography() says, and the country code as a second country, type, name (else fallback) and sameAs of aliases, id and ror without
     the organisation itself; orgs also has name, fallback, aliases, id, ror."""
     org = F.col("org")
-    same = F.array_except(F.array_union(F.coalesce("aliases", F.array().cast("array<string>")), F.array_compact(F.array("id", "ror"))), F.array("org"))
+    same = F.array_except(F.array_union(F.coalesce("aliases", F.array().cast("array<string>")), F.array_compact(F.array("id", "ror"))), F.array("org", F.lit("")))
     own = emitted(
         orgs,
-        triple(org, schema("countryCode"), F.upper(F.trim("code"))),
+        triple(org, schema("addressCountry"), F.when(F.trim("code") != "", F.upper(F.trim("code")))),
         triple(org, RDF_TYPE, F.lit(schema("Organization")), "iri"),
-        triple(org, schema("name"), F.coalesce("name", "fallback")),
+        triple(org, schema("name"), F.coalesce(F.when(F.col("name") != "", F.col("name")), F.when(F.col("fallback") != "", F.col("fallback")))),
         lists=(F.transform(same, lambda x: triple(org, schema("sameAs"), x, "iri")),),
     )
     return own.unionByName(geography(orgs)).distinct()
 
 
+def affiliations(rows: DataFrame, base: str) -> DataFrame:
+    """Triples of persons' organisations (person, id, ror, name, code), a set: the organisation is named by ROR, else by
+    identifier, else by the hash of name and country; what does not name it is a sameAs."""
+    some = lambda c: F.when(F.trim(c) != "", F.trim(c))
+    d = rows.withColumn("_org", affiliation_iri(base, F.col("ror"), F.col("id"), F.col("name"), F.col("code")))
+    org = F.col("_org")
+    return emitted(
+        d,
+        triple(F.col("person"), schema("affiliation"), org, "iri"),
+        triple(org, RDF_TYPE, F.lit(schema("Organization")), "iri"),
+        triple(org, schema("name"), some("name")),
+        triple(org, schema("addressCountry"), some("code")),
+        *(triple(org, schema("sameAs"), F.when(some(c) != org, some(c)), "iri") for c in ("id", "ror")),
+    ).distinct()
+
+
+def institution_records(rows: DataFrame, cache: DataFrame) -> DataFrame:
+    """rows (institution, name, aliases, openalex_id) with status and inst (see functions.payloads.INSTITUTION) from
+    cached payloads (k institution, v JSON). A payload is ``{status, openalex_sameas, institution}`` or an institution
+    itself; one made for another identifier counts as a miss; an ok without an institution raises when it is read."""
+    v = F.col("v")
+    cached = openalex_institution(F.get_json_object(v, "$.openalex_sameas"))
+    other = F.coalesce((F.col("openalex_id") != "") & (cached != F.col("openalex_id")), F.lit(False))
+    met = rows.join(cache.select(F.col("k").alias("institution"), "v"), "institution", "left").withColumn("v", F.when(~other, v))
+    inner = F.coalesce(F.from_json(F.get_json_object("v", "$.institution"), INSTITUTION), F.when(F.get_json_object("v", "$.id").isNotNull(), F.from_json("v", INSTITUTION)))
+    bare = F.get_json_object("v", "$.institution").isNull() & F.get_json_object("v", "$.id").isNotNull()
+    status = F.when(F.col("v").isNull(), "cache_miss").when(bare, "ok").otherwise(F.coalesce(F.get_json_object("v", "$.status"), F.lit("cache_miss")))
+    done = met.withColumn("status", status).withColumn("inst", F.when(status == "ok", inner)).withColumn("cache_hit", F.col("v").isNotNull()).drop("v")
+    broken = (F.col("status") == "ok") & F.col("inst.id").isNull()
+    return done.withColumn("status", F.when(broken, F.raise_error(F.concat(F.lit("malformed payload of "), F.col("institution"))).cast("string")).otherwise(F.col("status")))
+
+
+def institution_triples(records: DataFrame, continents: DataFrame) -> DataFrame:
+    """The triples of the ok rows of institution_records; continents holds code and continent."""
+    d = records.where("status = 'ok'").withColumn("_g", institution_places(F.col("inst")))
+    d = continent_of(d.withColumn("code", F.col("_g.code")), "code", continents)
+    return missing_institutions(
+        d.select(F.col("institution").alias("org"), F.col("inst.display_name").alias("name"), F.col("name").alias("fallback"), "aliases", "inst.id", "inst.ror", "_g.city", "_g.country", "code", "continent", "_g.latitude", "_g.longitude")
+    )
+
+
+def continent_of(rows: DataFrame, code: str, continents: DataFrame) -> DataFrame:
+    """rows with continent by a country code in any case, with spaces around or without; null for others. The table (code,
+    continent) has a row for each country; territories that it leaves out are in OUTLYING."""
+    table = continents.select(F.upper(F.trim("code")).alias("_code"), "continent").distinct()
+    met = rows.withColumn("_code", F.upper(F.trim(code))).join(table, "_code", "left")
+    for place, continent in OUTLYING.items():
+        met = met.withColumn("continent", F.coalesce("continent", F.when(F.col("_code") == place, continent)))
+    return met.drop("_code")
+
+
+#: Codes that tables of continents leave out.
+OUTLYING = {"UM": "Oceania"}
+
+
 def topics(works: DataFrame) -> DataFrame:
     """paper, topic: field and subfield identifiers of works (paper, topics array<string>), a set."""
     clean = F.filter(F.transform("topics", lambda t: F.regexp_replace(F.trim(t), "/+$", "")), lambda t: t.rlike(r"^https?://openalex\.org/(fields|subfields)/[0-9]+$"))

@@ -71,6 +71,36 @@ def present(aliases: DataFrame, triples: DataFrame, item: str = "item", alias: s
     return aliases.join(nodes(triples).withColumnRenamed("node", alias), alias, "left_semi").select(item).distinct()
 
 
+def of_values(df: DataFrame, column: str, values: list[str] | DataFrame) -> DataFrame:
+    """VALUES: the rows of df whose column is among the values: a list, or a table of one column of any size."""
+    if isinstance(values, DataFrame):
+        return df.join(values.select(F.col(values.columns[0]).alias(column)).distinct(), column, "left_semi").select(df.columns)
+    return df.where(F.col(column).isin(list(values))) if values else df.where("false")
+
+
+def in_graphs(**graphs: DataFrame) -> DataFrame:
+    """The triples of named graphs in one table with a column g; ``default`` names the unnamed one, its g is null."""
+    named = [t.withColumn("g", F.lit(None if name == "default" else name).cast("string")) for name, t in graphs.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
+def any_graph(quads: DataFrame) -> DataFrame:
+    """The triples of all graphs of a quad table, each once: what GRAPH ?g and the default graph together match."""
+    return quads.drop("g").distinct()
+
+
+def has_any(items: DataFrame, facts: DataFrame, on: str, value: str, name: str = "has") -> DataFrame:
+    """items with a flag: whether the facts (on, value) have one value or more for it."""
+    n = facts.where(F.col(value).isNotNull()).groupBy(on).agg(F.count_distinct(value).alias("_n"))
+    return items.join(n, on, "left").withColumn(name, F.coalesce("_n", F.lit(0)) > 0).drop("_n")
+
+
+def without_existing(new: DataFrame, existing: DataFrame, *on: str) -> DataFrame:
+    """The rows of new that the graph does not have yet, by the columns on (s, p, o if none are given)."""
+    keys = list(on) or ["s", "p", "o"]
+    return new.join(existing.select(*keys).distinct(), keys, "left_anti").select(new.columns)
+
+
 def page(df: DataFrame, order: list[str], offset: int, limit: int) -> DataFrame:
     return df.orderBy(*order).offset(offset).limit(limit)
 

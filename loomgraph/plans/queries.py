@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.functions import identifiers as ids
-from loomgraph.functions import nt, similarity, text
+from loomgraph.functions import names, nt, similarity, text
 from loomgraph.operators import analytics, answers, canonical, cleaning, csv_graph, enrich, graph, linking
+from loomgraph.plans.scratch import folder
+from loomgraph.sources import bibtex, sinks
 
 BASE = "https://loomgraph.example"
 QUERIES: dict = {}
@@ -72,7 +74,8 @@ def q04_pub_sample(t):
 @query("select s_suppkey, count(distinct n_nationkey) > 0 as has_affiliation from supplier left join nation on s_nationkey = n_nationkey and n_regionkey <= 2 group by 1")
 def q05_has_affiliation(t):
     n = t("nation").where("n_regionkey <= 2").select(F.col("n_nationkey").alias("s_nationkey"), F.lit(1).alias("one"))
-    return t("supplier").join(n, "s_nationkey", "left").groupBy("s_suppkey").agg((F.count("one") > 0).alias("has_affiliation"))
+    facts = t("supplier").join(n, "s_nationkey").select("s_suppkey", F.col("s_nationkey").alias("nation"))
+    return graph.has_any(t("supplier").select("s_suppkey"), facts, "s_suppkey", "nation", "has_affiliation")
 
 
 _PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -189,7 +192,7 @@ _SCORE = r"""(length(text) + least(length(regexp_replace(text, '[^\p{L}]', '', '
 
 @query(f"select source, doc_id, score from (select source, doc_id, {_SCORE} as score, row_number() over (partition by source order by {_SCORE} desc, doc_id) as r from documents) where r = 1")
 def q18_keep_best(t):
-    d = t("documents").select("source", "doc_id", text.name_score(F.col("text")).alias("score"))
+    d = t("documents").select("source", "doc_id", names.name_score(F.col("text")).alias("score"))
     return cleaning.best_of(d, ["source"], F.struct("score", -F.col("doc_id")))
 
 
@@ -201,20 +204,25 @@ def q19_dedupe_first(t):
 
 @query("select page_id, replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&') as title from pages")
 def q20_entities(t):
-    return t("pages").select("page_id", text.entities_decoded(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"))
+    return t("pages").select("page_id", names.entities_decoded(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"))
 
 
 @query()
 def q21_space_artifacts(t):
     """Look-around is beyond RE2: no SQL."""
-    joined = text.joined_umlauts(F.col("text"))
+    joined = names.joined_umlauts(F.col("text"))
     return t("documents").select("doc_id", (F.length("text") - F.length(joined)).cast("long").alias("n_joined"))
 
 
-@query("select distinct user_id as s, event_type as o from events where event_type in ('click', 'purchase') and value >= 60")
+@query(f"""with e as (select 'https://k/' || user_id as s, 'https://github.com/o/' || event_type as o, value from events where event_type in ('click', 'purchase'))
+select distinct s, 'repo' as p, o from e where value >= 60""")
 def q22_answers(t):
-    """Answers in a state, by confidence."""
-    return t("events").where(F.col("event_type").isin("click", "purchase") & (F.col("value") >= 60)).select(F.col("user_id").alias("s"), F.col("event_type").alias("o")).distinct()
+    """Repositories of answers in a state whose JSON stands in a fenced block, by confidence."""
+    url = F.concat(F.lit("https://www.github.com/o/"), F.col("event_type"), F.lit(".git/tree/main"))
+    found = F.array(F.struct(url.alias("url"), (F.col("value") / 100).cast("string").alias("confidence"), F.lit("r").alias("reason")), F.struct(F.lit("https://github.com/only-owner").alias("url"), F.lit("1").alias("confidence"), F.lit("").alias("reason")))
+    answer = F.struct(F.concat(F.lit("https://k/"), F.col("user_id")).alias("paper_uri"), found.alias("related_github"))
+    rows = t("events").select(F.lit("line:1").alias("pub"), F.when(F.col("event_type").isin("click", "purchase"), "ok").otherwise("api_error").alias("status"), F.concat(F.lit("Sure:\n```json\n"), F.to_json(answer), F.lit("\n```")).alias("said"))
+    return answers.repositories(rows.withColumn("response", answers.json_salvaged(F.col("said"), answers.ANSWER)), "repo")
 
 
 @query("select event_id, (props->>'k')::BIGINT as k from events")
@@ -222,7 +230,7 @@ def q23_json_props(t):
     return t("events").select("event_id", answers.json_salvaged(F.col("props"), "struct<k:bigint>")["k"].alias("k"))
 
 
-@query(f"select c_custkey, '{BASE}/org/' || substr(sha1(lower(trim(c_name))), 1, 12) as iri from customer")
+@query(f"select c_custkey, '{BASE}/id/org/' || substr(sha1(lower(trim(c_name))), 1, 12) as iri from customer")
 def q24_hash_iri(t):
     return t("customer").select("c_custkey", ids.named_iri(BASE, "org", F.col("c_name")).alias("iri"))
 
@@ -243,8 +251,9 @@ def q26_type_guess(t):
 @query("select n_name, r_name as continent from nation left join region on n_regionkey = r_regionkey")
 def q27_continent(t):
     """The table of continents is a parameter: here the regions."""
-    r = t("region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("continent"))
-    return t("nation").join(r, "n_regionkey", "left").select("n_name", "continent")
+    table = t("region").select(F.concat(F.lit("r"), F.col("r_regionkey")).alias("code"), F.col("r_name").alias("continent"))
+    coded = t("nation").select("n_name", F.concat(F.lit(" R"), F.col("n_regionkey"), F.lit(" ")).alias("code"))
+    return enrich.continent_of(coded, "code", table).select("n_name", "continent")
 
 
 #: Least similarities of the reference, in percent: of titles, and of names by their sorted tokens.
@@ -256,8 +265,9 @@ def title_candidates(t, compared, least: int) -> DataFrame:
     text whose length counts. The pairs grow with the square of the distinct names, not of the parts."""
     names = t("part").where("p_name is not null").select("p_name").distinct().withColumn("m", F.length(compared("p_name")))
     wanted = names.select(F.col("p_name").alias("title"), F.col("m").alias("n"))
-    # a ratio of r needs lengths within 2 * shorter / both >= r: blocks that cannot reach it are not compared
-    return wanted.join(names, F.least("n", "m") * 200 >= (F.col("n") + F.col("m")) * least)
+    # a ratio of r needs lengths within 2 * shorter / both >= r: an equi-join on the lengths within reach
+    reach = F.sequence(F.ceil(F.col("n") * least / F.lit(200 - least)), F.floor(F.col("n") * (200 - least) / F.lit(least)))
+    return wanted.withColumn("m", F.explode(reach.cast("array<int>"))).join(names, "m")
 
 
 def for_every_part(t, found: DataFrame) -> DataFrame:
@@ -300,7 +310,7 @@ def q31_authorship(t):
 def q32_anti_existing(t):
     new = t("part").where("p_size > 10").select("p_partkey", F.concat(F.lit("part/"), F.col("p_partkey")).alias("s"), F.col("p_name").alias("o"))
     old = t("lineitem").where("l_quantity < 3").select(F.col("l_partkey").alias("p_partkey"))
-    return new.join(old, "p_partkey", "left_anti").select("s", "o")
+    return graph.without_existing(new, old, "p_partkey").select("s", "o")
 
 
 @query("select n_nationkey from nation where n_nationkey not in (select s_nationkey from supplier union select c_nationkey from customer where c_acctbal > 9000)")
@@ -317,9 +327,8 @@ def q34_frequency(t):
 
 @query("select p_partkey, case when count(*) over (partition by p_name) > 1 then p_name || '_' || p_partkey else p_name end as key from part")
 def q35_unique_keys(t):
-    p = t("part").select("p_partkey", "p_name")
-    many = p.groupBy("p_name").agg(F.count("*").alias("n")).where("n > 1")
-    return p.join(many, "p_name", "left").select("p_partkey", F.when(F.col("n") > 1, F.concat_ws("_", "p_name", "p_partkey")).otherwise(F.col("p_name")).alias("key"))
+    p = t("part").select(F.col("p_partkey").alias("ordinal"), F.col("p_name").alias("key"), F.col("p_partkey").cast("string").alias("dbid"))
+    return bibtex.unique_keys(p).select(F.col("ordinal").alias("p_partkey"), F.col("new_key").alias("key"))
 
 
 @query("select conv_id, turn, running from (select *, sum(greatest(1, (length(text) + 2) // 3)) over (partition by conv_id order by turn)::BIGINT as running from conversations) where running <= 500")
@@ -355,7 +364,7 @@ def q40_pages_range(t):
 
 @query("select c_custkey, c_name from customer order by c_acctbal desc, c_custkey limit 50 offset 20")
 def q41_page(t):
-    return t("customer").orderBy(F.desc("c_acctbal"), "c_custkey").offset(20).limit(50).select("c_custkey", "c_name")
+    return graph.page(t("customer"), [F.desc("c_acctbal"), "c_custkey"], 20, 50).select("c_custkey", "c_name")
 
 
 @query("select n_name from nation join supplier on n_nationkey = s_nationkey union select n_name from nation join customer on n_nationkey = c_nationkey where c_acctbal < 0")
@@ -366,9 +375,14 @@ def q42_union(t):
     return n.join(graph.union_set(a, b), "n_nationkey", "left_semi").select("n_name").distinct()
 
 
-@query("select distinct md5(text) as text_md5 from documents")
+@query("""select distinct md5('<lang/' || lang || '> <text> "' || replace(replace(replace(replace(replace(text, chr(92), chr(92) || chr(92)), '"', chr(92) || '"'), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'), chr(9), chr(92) || 't') || '" .') as line_md5 from documents""")
 def q43_sort_unique(t):
-    return t("documents").select("text").distinct().select(F.md5(F.col("text").cast("binary")).alias("text_md5")).distinct()
+    """A sorted set of triples, written and read back."""
+    d, none = t("documents"), F.lit(None).cast("string")
+    rows = d.select(F.concat(F.lit("lang/"), "lang").alias("s"), F.lit("iri").alias("s_kind"), F.lit("text").alias("p"), nt.escape(F.col("text")).alias("o"), F.lit("literal").alias("o_kind"), none.alias("o_lang"), none.alias("o_dt"))
+    path = folder(d.sparkSession, "sort-unique")
+    sinks.write_triples(rows, path, "sorted")
+    return d.sparkSession.read.text(path).select(F.md5(F.col("value").cast("binary")).alias("line_md5"))
 
 
 @query(f"select page_id, lower(regexp_extract(url, '^([a-z]+)://', 1)) = 'http' and {_HOST} = 'www.example.org' and regexp_extract(url, '^[a-z]+://[^/?#:]*(:[0-9]*)?', 1) = '' as inside from pages")
@@ -402,7 +416,7 @@ def q49_status_tally(t):
 
 
 @query("""with s as (select 'org/' || s_suppkey as s, n_name, r_name, s_acctbal from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey)
-select s, 'addressCountry' as p, n_name as o from s union all select s, 'containedInPlace', r_name from s union all select s, 'addressLocality', 'City of ' || n_name from s""")
+select s, 'addressCountry' as p, n_name as o from s union all select s, 'continent', r_name from s union all select s, 'addressLocality', 'City of ' || n_name from s""")
 def q50_institution_geo(t):
     s = t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     none = F.lit(None).cast("double")
@@ -416,7 +430,6 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def q45_stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream over the events, one row per user, run until nothing is left."""
-    from loomgraph.plans.scratch import folder
     from loomgraph.streaming.prompts import drained, first_seen
 
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
@@ -433,3 +446,5 @@ def _directory(sf_dir: str, name: str) -> str:
 
 QUERIES["q45_stream_dedupe"] = q45_stream_dedupe
 SQL["q45_stream_dedupe"] = "select distinct user_id from events"
+
+from loomgraph.plans import more_queries  # noqa: E402, F401  registers itself

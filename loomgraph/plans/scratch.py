@@ -1,7 +1,7 @@
 """Lineage cuts that survive lost executors.
 
 Everything goes to the folder the cluster names in ``spark.checkpoint.dir``, which driver and executors share.
-Only where that is unset (tests, a laptop) a folder of our own is used.
+Only where that is unset and the master is local (tests, a laptop) a folder of our own is used; a cluster without one is an error.
 """
 
 from __future__ import annotations
@@ -18,12 +18,14 @@ _own: list[str] = []
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; sets a local one if, and only if, the session names none."""
+    """The shared checkpoint folder; sets a local one if, and only if, the session names none and runs on this machine alone."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(named)
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _own:
         _own.append("file://" + tempfile.mkdtemp(prefix="loomgraph-checkpoint-"))
     spark.sparkContext.setCheckpointDir(_own[0])

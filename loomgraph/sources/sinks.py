@@ -42,6 +42,39 @@ def write_mapping(old_new: DataFrame, path: str) -> None:
     old_new.where("old <> canonical").select("old", "canonical").write.csv(path, sep="\t")
 
 
+def write_table(rows: DataFrame, path: str, header: bool = True) -> None:
+    """Tab-separated pairs or a summary, with or without a header."""
+    rows.write.csv(path, sep="\t", header=header, lineSep="\n")
+
+
+#: Columns of the reports, in their order.
+REPORTS = {"match": ["paper", "state", "work", "candidates"], "author": ["paper", "author", "persons", "status"], "affiliation": ["institution", "status", "cache_hit"], "missing": ["institution", "name", "external_ids", "authorships"]}
+
+
+def report_rows(rows: DataFrame, kind: str) -> DataFrame:
+    """The columns of a report of a kind, lists joined by semicolons; a missing column raises."""
+    kinds = dict(rows.dtypes)
+    text = lambda c: F.array_join(F.array_sort(c), "; ") if kinds[c].startswith("array") else F.col(c).cast("string")
+    return rows.select(*(text(c).alias(c) for c in REPORTS[kind]))
+
+
+def json_report(rows: DataFrame, order: str, most: int = 50, **conditions) -> DataFrame:
+    """One JSON text: how many rows meet each condition, and the first rows that do, in input order."""
+    counts = counted(rows, **conditions)
+    keep = [c for c in rows.columns]
+    lists = [examples(rows.where(c), order, most).agg(F.to_json(F.array_sort(F.collect_list(F.struct(order, *(k for k in keep if k != order))))).alias(f"{name}_examples")) for name, c in conditions.items()]
+    for one in lists:
+        counts = counts.crossJoin(one)  # one row each
+    pairs = [F.concat(F.lit(f'"{n}": '), F.col(n).cast("string")) for n in conditions] + [F.concat(F.lit(f'"{n}_examples": '), F.col(f"{n}_examples")) for n in conditions]
+    return counts.select(F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}")).alias("value"))
+
+
+def write_unless_dry(rows: DataFrame, path: str, dry: bool, write=None) -> None:
+    """Writes rows, as Parquet or by a function of rows and path; a dry run writes nothing (reports are made all the same)."""
+    if not dry:
+        (write or (lambda r, p: r.write.parquet(p)))(rows, path)
+
+
 def examples(rows: DataFrame, order: str, most: int = 50) -> DataFrame:
     """The first examples of a report, in input order."""
     return rows.orderBy(order).limit(most)

@@ -72,10 +72,10 @@ def test_publications(spark, tmp_path):
     rows = tables.read_publications(spark, str(tmp_path / "p.csv"))
     base = "https://kg.org"
     got = {(r.s.removeprefix(base), r.p.rpartition("/")[2], r.o, r.o_lang) for r in csv_graph.semantic_layer(rows, base).collect()}
-    assert {("/publication/1", "name", 'Titel "A"', "de"), ("/publication/1", "sameAs", "https://doi.org/10.1/x_y", None), ("/publication/1", "license", "https://creativecommons.org/licenses/by/4.0/", None), ("/publication/1", "peerReviewed", "true", None)} <= got
-    assert any(p == "issn" and s.startswith("/periodical/") for s, p, _, _ in got)
+    assert {("/id/publication/ris/1", "name", 'Titel "A"', "de"), ("/id/publication/ris/1", "sameAs", "https://doi.org/10.1/x_y", None), ("/id/publication/ris/1", "license", "https://creativecommons.org/licenses/by/4.0/", None), ("/id/publication/ris/1", "peerReviewed", "true", None)} <= got
+    assert any(p == "issn" and s.startswith("/id/periodical/") for s, p, _, _ in got)
     people = {(r.p.rpartition("/")[2], r.o) for r in csv_graph.contributors(rows, base, "autoren", "author").collect()}
-    assert ("author", f"{base}/person/orcid/0000-0002-1825-0097") in people and ("uniId", "5") in people
+    assert ("author", "https://orcid.org/0000-0002-1825-0097") in people and ("uniId", "5") in people
     raw = {r.p.rpartition("/")[2]: (r.o, r.o_dt) for r in csv_graph.raw_layer(rows, base).collect()}
     assert raw["jahr"][1].endswith("gYear") and "untertitel" not in raw
 
