@@ -75,7 +75,7 @@ class Shingler:
     """Sorted distinct 64-bit shingle hashes of texts."""
 
     def __init__(self, width: int):
-        self.width, self.memo = width, Memo(xxhash.xxh3_64_intdigest)
+        self.width, self.memo = width, Memo(xxhash.xxh3_64_intdigest, 100_000)
 
     def __call__(self, text: bytes | None) -> np.ndarray:
         words = (text or b"").lower().split()  # bytes: lower() takes A-Z only, split() takes \x20 \x09-\x0D only
@@ -292,7 +292,7 @@ def _lacking(members: DataFrame, links: _Links, p: NearDup) -> DataFrame:
 def class_components(docs: DataFrame, nodes: DataFrame, p: NearDup) -> DataFrame:
     """(rep, c) of all nodes that share a list with another; nodes: rep, doc_id, fp, n, sketch."""
     lists = stored(rare_lists(nodes, p), "near-lists")
-    listed = cut(lists.select("rep").distinct())
+    listed = lists.select("rep").distinct()
     sets = full_sets(docs, nodes.join(listed, "rep", "left_semi"), p)
     sets = stored(sets.dropDuplicates(["rep"]) if _repeats(docs) else sets, "near-sets")
     links = _Links(nodes, sets, listed, p)
@@ -310,7 +310,7 @@ def class_components(docs: DataFrame, nodes: DataFrame, p: NearDup) -> DataFrame
     highest = near.unionByName(own).groupBy("a").agg(F.max_by(F.struct("b", "n_a", "n_b", "i", "rest", "gone"), F.struct("score", "b")).alias("m"))
     hubbed = stored(highest.select(F.col("a").alias("rep"), F.col("m.b").alias("h"), F.col("m.n_a").alias("n"), F.col("m.i").alias("i"), F.col("m.rest").alias("rest"), F.col("m.gone").alias("gone"), F.col("m.n_b").alias("n_h")), "near-hubbed")
     deltas = hubbed.select("rep", "n", "rest", "gone", "n_h")
-    members, outside = _outside(stored(_mixed(links.marked(hubbed), "h"), "near-open"), p)
+    members, outside = _outside(_mixed(links.marked(hubbed), "h"), p)
 
     # second pass: members still apart with the next hub of their lists, and with the hubs of the lists outside C
     rows = cut(_mixed(links.marked(lists), "v"))
