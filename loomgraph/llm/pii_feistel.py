@@ -9,7 +9,10 @@ document, whatever their punctuation; without the key they cannot be traced back
 
 from __future__ import annotations
 
+import bisect
+import calendar
 import datetime
+import itertools
 import re
 from collections.abc import Callable
 from functools import lru_cache
@@ -18,6 +21,7 @@ from hashlib import blake2b
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomgraph.llm.batches import small_batches
 
@@ -94,11 +98,11 @@ class Pseudonyms:
     #: Formats by kind, tried in this order at each place.
     FORMATS = {
         "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}",
-        "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-        "date": r"(?<![0-9.,/-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-]|\.[0-9])",
+        "iban": r"(?<![A-Za-z0-9])(?:[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?|[a-z]{2}[0-9]{2}(?: ?[a-z0-9]{4}){2,7}(?: ?[a-z0-9]{1,3})?)(?![A-Za-z0-9])",
+        "date": r"(?<![0-9.,/-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-]|\.[0-9])",
         "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
         "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
-        "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])|(?<![0-9A-Za-z+])\+[0-9]{8,15}(?![0-9])",
+        "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])|(?<![0-9A-Za-z+])\+[0-9]{8,15}(?![0-9])|(?<![0-9A-Za-z+/.-])0[0-9]{2,4}/[0-9]{5,9}(?![0-9/])",
         "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])",
     }
 
@@ -140,7 +144,7 @@ class Pseudonyms:
         if kind != "iban":
             return [v]
         cuts = [v[:i] for i in range(len(v) - 1, 0, -1) if v[i] == " "]
-        size = ACCOUNT_LENGTHS.get(v[:2])
+        size = ACCOUNT_LENGTHS.get(v[:2].upper())
         return [c for c in cuts if len(c.replace(" ", "")) == size] + [v] if size else [v, *cuts]
 
     def _digits(self, digits: str, tweak: str) -> str:
@@ -170,12 +174,13 @@ class Pseudonyms:
         return f"{self._letters(name, 'email')}@{domain}"
 
     def _iban(self, v: str) -> str | None:
-        plain = v.replace(" ", "")
+        plain = v.replace(" ", "").upper()
         if not 15 <= len(plain) <= 34 or mod97(plain) != 1:
             return None
         body = self._letters(plain[4:], f"iban:{plain[:2]}")
         check = 98 - mod97(f"{plain[:2]}00{body}")
-        return relaid(v, f"{plain[:2]}{check:02d}{body}", "A-Z0-9")
+        new = f"{plain[:2]}{check:02d}{body}"
+        return relaid(v, new.lower() if v[0].islower() else new, "A-Za-z0-9")
 
     def _card(self, v: str) -> str | None:
         d = re.sub("[ -]", "", v)
@@ -237,16 +242,28 @@ class Pseudonyms:
         country = m[1] if m else d[:2]
         return relaid(v, country + self._digits(d[len(country) :], f"phone:{country}"))
 
-    FIRST, LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
+    #: Days after the twelfth before each month from January 1900 on, until December 2099.
+    LATE = [0, *itertools.accumulate(calendar.monthrange(1900 + m // 12, m % 12 + 1)[1] - 12 for m in range(2400))]
+
+    def _day(self, day: datetime.date) -> datetime.date:
+        """The calendar day is permuted, so one day in two layouts stays one day. Days up to the twelfth and later ones are
+        permuted each among themselves: only by the latter can days first and months first be told apart."""
+        month = (day.year - 1900) * 12 + day.month - 1
+        if day.day <= 12:
+            month, d = divmod(self.feistel(month * 12 + day.day - 1, 2400 * 12, "date:early"), 12)
+        else:
+            x = self.feistel(self.LATE[month] + day.day - 13, self.LATE[-1], "date:late")
+            month = bisect.bisect_right(self.LATE, x) - 1
+            d = x - self.LATE[month] + 12
+        return datetime.date(1900 + month // 12, month % 12 + 1, d + 1)
 
     def _date(self, v: str) -> str | None:
-        """The calendar day is permuted, so one day in two layouts stays one day. Days first and months first are told
-        apart only by days over 12; a day-first date is walked on to such a day."""
+        """A day in its own layout; years, months and days without leading zeros come without."""
         a, b, c = map(int, re.split("[-./]", v))
         form = "{2:02d}/{1:02d}/{0:04d}"
         try:
             if "-" in v:
-                day, form = datetime.date(a, b, c), "{0:04d}-{1:02d}-{2:02d}"
+                day, form = datetime.date(a, b, c), "{0:04d}-{1:02d}-{2:02d}" if len(v) == 10 else "{0:04d}-{1}-{2}"
             elif "." in v:
                 day, form = datetime.date(c, b, a), "{2:02d}.{1:02d}.{0:04d}"
             elif a > 12:
@@ -255,12 +272,10 @@ class Pseudonyms:
                 day, form = datetime.date(c, a, b), "{1:02d}/{2:02d}/{0:04d}"
         except ValueError:
             return None
-        if not self.FIRST <= day.toordinal() <= self.LAST:
+        if not 1900 <= day.year <= 2099:
             return None
-        while True:
-            day = datetime.date.fromordinal(self.FIRST + self.feistel(day.toordinal() - self.FIRST, self.LAST - self.FIRST + 1, "date"))
-            if form[1] != "2" or "/" not in v or day.day > 12:
-                return form.format(day.year, day.month, day.day)
+        day = self._day(day)
+        return form.format(day.year, day.month, day.day)
 
 
 @lru_cache(maxsize=4)
@@ -269,6 +284,7 @@ def pseudonyms_of(key: bytes) -> Pseudonyms:
 
 
 KINDS = tuple(Pseudonyms.FORMATS)
+FOUND = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
 def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
@@ -278,8 +294,6 @@ def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
     A null text stays null and has an empty list, as has a text without personal data. Rows are handled alone; names of
     other columns are free but for ``found``, which is replaced.
     """
-    schema = "_row binary, text string, found array<struct<kind:string,start:int,end:int>>"
-
     def run(batches):
         replace = pseudonyms_of(key)
         out = pa.schema([("text", pa.string()), ("found", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))])
@@ -293,9 +307,10 @@ def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
 
     small_batches(docs.sparkSession)
     rest = [c for c in docs.columns if c not in ("text", "found")]
-    own = docs.select(*(F.col(f"`{c}`") for c in rest), F.col("text").cast("string").alias("text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[:-1])
-    return own.mapInArrow(run, f"{kinds}, {schema.partition(', ')[2]}")
+    # other columns travel as one struct: names with dots are no argument of an Arrow function
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in rest), *[F.lit(0).alias("_none")] * (not rest)).alias("_rest"), F.col("text").cast("string").alias("text"))
+    made = T.StructType([*own.schema.fields, T.StructField("found", FOUND)])
+    return own.mapInArrow(run, made).select(*["_rest.*"] * bool(rest), "text", "found")
 
 
 def report(done: DataFrame) -> DataFrame:
