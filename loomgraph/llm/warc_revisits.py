@@ -12,8 +12,8 @@ not move at all; only identifiers, validators and headers do.
 
 from __future__ import annotations
 
-import gzip
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,10 +21,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loomgraph.llm.batches import small_batches
 from loomgraph.plans.scratch import stored
 
 #: Records of one time slice over all URLs, about: what one task orders if they all have one URL.
 SLICE_ROWS = 20_000
+#: Payload bytes of a batch of records read from a file.
+BATCH_BYTES = 8 << 20
 #: Response headers that a not-modified response must not replace (message framing, content, hop-by-hop).
 FIXED_HEADERS = ["connection", "content-encoding", "content-length", "content-range", "content-type", "keep-alive", "proxy-authenticate", "proxy-connection", "te", "trailer", "transfer-encoding", "upgrade"]
 
@@ -53,37 +56,47 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
     state is ``no_base`` (no earlier full response; headers are the revisit's own), ``mismatch`` (a validator that both
     have differs; the base is named, headers stay the revisit's), ``unverified`` (no validator is in both) or
-    ``resolved``; in the last two cases headers are the base's with those of the revisit that may be updated.
+    ``resolved``; in the last two cases headers are the base's with those of the revisit that may be updated. A revisit
+    whose profile (an optional column) says that an identical payload came again is a response of its own: its state is
+    ``identical_payload``, the latest earlier full response is named, and its own headers stay.
     Earlier means a smaller ts; of several at one ts the largest record_id counts. Records with a null url, ts or
     record_id are no base and, as revisits, have none. Repeated revisit rows give repeated results; a repeated record_id
     of a base counts once, by its largest digest. Null headers are empty. Extra columns are not read.
     """
     empty = F.create_map().cast("map<string,string>")
+    profile = F.col("profile").cast("string") if "profile" in records.columns else F.lit(None).cast("string")
     rows = records.select(
-        "record_id", canonical_url(F.col("url")).alias("url_key"), F.col("ts").cast("long").alias("ts"), "kind", F.col("status").cast("int").alias("status"), F.coalesce("headers", empty).alias("headers"), "digest"
+        F.coalesce(F.contains(F.lower(profile), F.lit("identical-payload")), F.lit(False)).alias("again"), "record_id", canonical_url(F.col("url")).alias("url_key"), F.col("ts").cast("long").alias("ts"), "kind", F.col("status").cast("int").alias("status"), F.coalesce("headers", empty).alias("headers"), "digest"
     )
     rows = stored(rows, "warc-records")  # narrow: five branches read it
-    revisits = rows.where("kind = 'revisit'").select("record_id", "url_key", "ts", "headers", "digest")
+    revisits = rows.where("kind = 'revisit'").select("record_id", "url_key", "ts", "headers", "digest", "again")
+    placed = "url_key is not null and ts is not null and record_id is not null"
     full = rows.where("kind = 'response' and status = 200 and record_id is not null and url_key is not null and ts is not null and not map_contains_key(headers, 'content-range')")
-    span = rows.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.count("*").alias("n")).first()
+    # slices span the bulk of the times; what lies outside, as wrong clocks may, belongs to the first or last one
+    span = rows.agg(F.percentile_approx("ts", [0.005, 0.995], 10_000).alias("bulk"), F.count("*").alias("n")).first()
+    lo, hi = span.bulk or (0, 0)
     slices = 1 + span.n // SLICE_ROWS
-    width = 1 + ((span.hi or 0) - (span.lo or 0)) // slices
-    at = F.expr(f"(ts - {span.lo or 0}L) div {width}L")
+    width = 1 + (hi - lo) // slices
+    at = F.expr(f"(least(greatest(ts, {lo}L), {hi}L) - {lo}L) div {width}L")
     last = F.struct("ts", "record_id")
-    events = full.select("url_key", "ts", "record_id", F.lit(True).alias("base")).unionByName(revisits.where("url_key is not null and ts is not null and record_id is not null").select("url_key", "ts", "record_id", F.lit(False).alias("base")).distinct()).withColumn("slice", at)
+    events = full.select("url_key", "ts", "record_id", F.lit(True).alias("base")).unionByName(revisits.where(placed).select("url_key", "ts", "record_id", F.lit(False).alias("base")).distinct()).withColumn("slice", at)
     ends = events.groupBy("url_key", "slice").agg(F.max(F.when(F.col("base"), last)).alias("last"))
     before = Window.partitionBy("url_key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     passed = ends.select("url_key", "slice", F.max("last").over(before).alias("passed"))
     within = Window.partitionBy("url_key", "slice").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
     found = events.withColumn("near", F.max(F.when(F.col("base"), last)).over(within)).where("not base").join(passed, ["url_key", "slice"]).select("record_id", "url_key", "ts", F.coalesce("near", "passed").alias("b"))
     bases = full.groupBy("record_id").agg(F.max_by(F.struct("headers", "digest"), F.struct(F.coalesce("digest", F.lit("")), "ts")).alias("s"))
-    named = revisits.join(found, ["record_id", "url_key", "ts"], "left").withColumn("base_id", F.col("b.record_id"))
-    met = named.join(bases.withColumnRenamed("record_id", "base_id"), "base_id", "left")
+    named = revisits.where(placed).join(found, ["record_id", "url_key", "ts"]).withColumn("base_id", F.col("b.record_id"))
+    # revisits without a base have no key to be joined by: they go around the join
+    alone = named.where("base_id is null").unionByName(revisits.where(f"not ({placed})").withColumn("b", F.lit(None).cast(named.schema["b"].dataType)).withColumn("base_id", F.lit(None).cast(named.schema["base_id"].dataType)))
+    met = named.where("base_id is not null").join(bases.withColumnRenamed("record_id", "base_id"), "base_id")
+    met = met.unionByName(alone.withColumn("s", F.lit(None).cast(bases.schema["s"].dataType)))
     had, new = F.col("s.headers"), F.col("headers")
     pairs = [(_entity(had["etag"]), _entity(new["etag"])), (F.trim(had["last-modified"]), F.trim(new["last-modified"])), (F.col("s.digest"), F.col("digest"))]
     same = [a == b for a, b in pairs]
     state = (
         F.when(F.col("base_id").isNull(), "no_base")
+        .when(F.col("again"), "identical_payload")
         .when(F.coalesce(F.array_contains(F.array_compact(F.array(*same)), False), F.lit(False)), "mismatch")
         .when(F.size(F.array_compact(F.array(*same))) == 0, "unverified")
         .otherwise("resolved")
@@ -95,23 +108,52 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
 def parse_warc(data: bytes) -> Iterator[dict]:
     """The records of a WARC file, whole or compressed record by record: version line, named fields, block. Damaged
-    data raise ValueError."""
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)  # all members
-    at = 0
-    while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0 or not data.startswith(b"WARC/", at):
-            raise ValueError(f"no record at {at}")
-        head = _fields(data[at:end].split(b"\r\n")[1:])
-        size = int(head.get("content-length", "0"))
-        block = data[end + 4 : end + 4 + size]
-        if len(block) < size:
-            raise ValueError(f"cut off at {at}")
-        yield {"fields": head, "block": block}
-        at = end + 4 + size
-        while data[at : at + 2] == b"\r\n":
-            at += 2
+    data raise ValueError. Compressed data are inflated as they are read: beside the file, one record is in memory."""
+    pieces, held, at = _inflated(data), bytearray(), 0
+
+    def filled(n: int) -> bool:
+        while len(held) < n:
+            more = next(pieces, None)
+            if more is None:
+                return False
+            held.extend(more)
+        return True
+
+    while True:
+        while filled(2) and held[:2] == b"\r\n":
+            del held[:2]
+        if not held:
+            return
+        while (end := held.find(b"\r\n\r\n")) < 0 and filled(len(held) + 1):
+            pass
+        if end < 0 or not held.startswith(b"WARC/"):
+            raise ValueError(f"no record {at}")
+        head = _fields(bytes(held[:end]).split(b"\r\n")[1:])
+        size = end + 4 + int(head.get("content-length", "0"))
+        if not filled(size):
+            raise ValueError(f"record {at} is cut off")
+        yield {"fields": head, "block": bytes(held[end + 4 : size])}
+        del held[:size]
+        at += 1
+
+
+def _inflated(data: bytes, piece: int = 1 << 20) -> Iterator[bytes]:
+    """The data in pieces, all members of compressed ones one after the other."""
+    view = memoryview(data)
+    if data[:2] != b"\x1f\x8b":
+        yield from (view[i : i + piece] for i in range(0, len(view), piece))
+        return
+    member, at = zlib.decompressobj(31), 0
+    while at < len(view) or member.unconsumed_tail:
+        some = member.unconsumed_tail or view[at : at + piece]
+        at += 0 if member.unconsumed_tail else len(some)
+        try:
+            yield member.decompress(some, piece)
+        except zlib.error as e:
+            raise ValueError(f"damaged compression: {e}") from e
+        if member.eof:
+            at -= len(member.unused_data)
+            member = zlib.decompressobj(31)
 
 
 def _fields(lines: list[bytes]) -> dict[str, str]:
@@ -123,19 +165,24 @@ def _fields(lines: list[bytes]) -> dict[str, str]:
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """The response and revisit records of WARC files: the columns that :func:`resolve_revisits` reads, and payload.
+    """The response and revisit records of WARC files: the columns that :func:`resolve_revisits` reads, refers_to (the
+    record that a revisit names itself, if it does) and payload.
 
-    ts is the WARC date in seconds; a 206 or 304 status is in the block's status line.
+    ts is the WARC date in seconds; a 206 or 304 status is in the block's status line. Spark hands a file over whole, so
+    files of 2 GB and more are to be cut first; records leave in batches of ``BATCH_BYTES``.
     """
-    schema = "record_id string, url string, ts long, kind string, status int, headers map<string,string>, digest string, payload binary"
+    schema = "record_id string, url string, ts long, kind string, status int, headers map<string,string>, digest string, profile string, refers_to string, payload binary"
+    names = ["record_id", "url", "ts", "kind", "status", "headers", "digest", "profile", "refers_to", "payload"]
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.map_(pa.string(), pa.string()), pa.string(), pa.string(), pa.string(), pa.binary()]
+    batch = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in zip(names, kinds)], names=names)
 
     def run(batches):
         from datetime import datetime
 
         for b in batches:
-            for content in b.column(0).to_pylist():
-                rows = []
-                for r in parse_warc(content):
+            for content in b.column(0):
+                rows, held = [], 0
+                for r in parse_warc(content.as_py()):
                     f, kind = r["fields"], r["fields"].get("warc-type")
                     if kind not in ("response", "revisit"):
                         continue
@@ -152,13 +199,19 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                             "status": int(status[1]) if status else None,
                             "headers": [*_fields(lines).items()],
                             "digest": f.get("warc-payload-digest"),
+                            "profile": f.get("warc-profile"),
+                            "refers_to": f.get("warc-refers-to"),
                             "payload": payload,
                         }
                     )
-                names = ["record_id", "url", "ts", "kind", "status", "headers", "digest", "payload"]
-                kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.map_(pa.string(), pa.string()), pa.string(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in zip(names, kinds)], names=names)
-
+                    held += len(payload)
+                    if held >= BATCH_BYTES:
+                        yield batch(rows)
+                        rows, held = [], 0
+                if rows:
+                    yield batch(rows)
+
+    small_batches(spark)
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, schema)
 
 

@@ -45,6 +45,30 @@ def test_equals_brute_force(spark, monkeypatch, rows_in_slice):
     assert sorted(str((r.record_id, r.base_id, r.state, tuple(sorted(r.headers.items())))) for r in got) == brute(rows)
 
 
+def test_identical_payloads_keep_their_headers(spark):
+    same = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+    not_modified = "http://netpreserve.org/warc/1.1/revisit/server-not-modified"
+    rows = [("b", "http://a/", 1, "response", 200, {"etag": "x", "a": "1"}, "d", None), ("r1", "http://a/", 5, "revisit", 200, {"etag": "y"}, "d", same), ("r2", "http://a/", 6, "revisit", 304, {"date": "t"}, "d", not_modified), ("r3", "http://n/", 6, "revisit", 200, {"q": "z"}, "d", same)]
+    got = {r.record_id: (r.base_id, r.state, r.headers) for r in W.resolve_revisits(spark.createDataFrame(rows, SCHEMA.replace("slice int", "profile string"))).collect()}
+    assert got == {"r1": ("b", "identical_payload", {"etag": "y"}), "r2": ("b", "resolved", {"etag": "x", "a": "1", "date": "t"}), "r3": (None, "no_base", {"q": "z"})}
+
+
+def test_a_wrong_clock_does_not_widen_the_slices(spark, monkeypatch):
+    monkeypatch.setattr(W, "SLICE_ROWS", 50)
+    rows = [(f"b{i}", "http://a/", i, "response", 200, {}, None, 1) for i in range(400)] + [(f"r{i}", "http://a/", i, "revisit", 304, {}, None, 1) for i in range(0, 400, 7)] + [("far", "http://a/", 10**15, "response", 200, {}, None, 1), ("late", "http://a/", 10**15 + 1, "revisit", 304, {}, None, 1)]
+    got = W.resolve_revisits(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(str((r.record_id, r.base_id, r.state, tuple(sorted(r.headers.items())))) for r in got) == brute(rows)
+
+
+def test_records_of_many_pieces():
+    blocks = [b"x" * n for n in (0, 1, (1 << 20) - 1, 3 << 20, 5)]
+    data = [warc("response", f"<{i}>", "http://a", "2020-01-01T00:00:00Z", b) for i, b in enumerate(blocks)]
+    for whole in (b"".join(data), b"".join(map(gzip.compress, data)), gzip.compress(b"".join(data))):
+        assert [r["block"] for r in W.parse_warc(whole)] == blocks
+    with pytest.raises(ValueError):
+        list(W.parse_warc(gzip.compress(b"".join(data))[:-30]))
+
+
 def test_empty(spark):
     assert W.resolve_revisits(spark.createDataFrame([], SCHEMA)).count() == 0
 
