@@ -13,6 +13,7 @@ scan, without a shuffle: nothing grows with the documents but the scan.
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.llm.batches import Memo, small_batches
+from loomgraph.plans.scratch import stored
 
 #: Lower-cases A-Z and turns every byte that is no word byte (words: digits, letters, all bytes from \x80 on) into a space.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -128,12 +130,12 @@ class Block:
         return a, b
 
 
-def blocks(items: DataFrame, p: Winnow) -> list[list[tuple]]:
-    """The items (item_id, text) in blocks; only one block is held at a time beside the list of what was collected."""
+def blocks(items: DataFrame, p: Winnow) -> tuple[int, Iterator[list[tuple]]]:
+    """How many blocks of about p.block_bytes the items (item_id, text) make, and the blocks, each collected when asked for."""
     rows = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text")).where("text is not null and item_id is not null")
     size = rows.agg(F.sum(F.octet_length("text")).alias("b")).first().b or 0
     n = 1 + size // p.block_bytes
-    return [[(r.item_id, bytes(r.text)) for r in rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == i).collect()] for i in range(n)]
+    return n, ([(r.item_id, bytes(r.text)) for r in rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).collect()] for i in range(n))
 
 
 def contamination(docs: DataFrame, items: DataFrame, params: Winnow = Winnow(), keep_rows: bool = False) -> DataFrame:
@@ -141,15 +143,16 @@ def contamination(docs: DataFrame, items: DataFrame, params: Winnow = Winnow(),
     docs; with keep_rows also row, all columns of docs.
 
     A null text has no words. Null item texts or ids and items without words match nothing; an item_id that comes more
-    than once counts once. Repeated documents are handled alone; extra columns are not read; with an empty table of
+    than once counts once. Items beyond one block are matched block by block, each pass written down before the next block
+    is fetched and the last one freed, so that driver and executors hold one block. Repeated documents are handled alone; extra columns are not read; with an empty table of
     items no document has hits.
     """
     spark = docs.sparkSession
     small_batches(spark)
     state = "array<int>"
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast(state).alias("ends"), F.array().cast("array<string>").alias("items"), *[F.struct("*").alias("row")] * keep_rows)
-    carried = f", row {out.schema['row'].dataType.simpleString()}" if keep_rows else ""
-    for rows in blocks(items, params):
+    schema, (n, parts) = out.schema, blocks(items, params)
+    for rows in parts:
         shared = spark.sparkContext.broadcast(rows)
 
         def run(batches, shared=shared):
@@ -165,7 +168,10 @@ def contamination(docs: DataFrame, items: DataFrame, params: Winnow = Winnow(),
                 arrays = [b.column(0), b.column(1), pa.array(n_words, pa.int64()), pa.array(ends, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays([*arrays, *b.columns[5:]], names=["doc_id", "text", "n_words", "ends", "items", *b.schema.names[5:]])
 
-        out = out.mapInArrow(run, f"doc_id long, text binary, n_words long, ends {state}, items array<string>{carried}")
+        out = out.mapInArrow(run, schema)
+        if n > 1:
+            out = stored(out, "contamination")
+            shared.destroy()
     return out.drop("text")
 
 

@@ -67,3 +67,12 @@ def test_every_span_of_eight_is_found():
         at = rng.randint(0, 12)
         x = [b"q"] * rng.randint(0, 9) + y[at : at + 8] + [b"r"] * rng.randint(0, 9)
         assert block.hits(x, hashed(x))[1] == {0}
+
+
+def test_rows_of_any_column_names(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i", 1, 2), (2, None, 3, 4)], "doc_id long, text string, `a b` int, `c.d` int")
+    items = spark.createDataFrame([(7, "b c d e f g h i"), (8, "x y")], "item_id long, text string")
+    for block in (32 << 20, 10):
+        got = contamination(docs, items, Winnow(block_bytes=block), keep_rows=True)
+        assert got.select("row.*").columns == docs.columns
+        assert sorted((r.row["a b"], r.row["c.d"], r["items"]) for r in got.collect()) == [(1, 2, ["7"]), (3, 4, [])]
