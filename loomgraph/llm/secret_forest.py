@@ -159,7 +159,7 @@ def trained(findings: DataFrame, p: Forest = Forest()) -> list[Tree]:
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    used = findings.where("candidate is not null and label is not null").limit(p.findings).select(featured().alias("x"), "label")
+    used = findings.where("candidate is not null and label is not null").orderBy(F.xxhash64("candidate", "before", "after"), "candidate", "before", "after").limit(p.findings).select(featured().alias("x"), "label")
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(used.select("x.*", "label"))
     model = RandomForestClassifier(numTrees=p.trees, maxDepth=p.depth, seed=p.seed, featureSubsetStrategy="sqrt", subsamplingRate=0.8).fit(rows)
 
@@ -218,8 +218,10 @@ MASK = "[SECRET]"
 
 
 def masked(docs: DataFrame, forest: list[Tree], threshold: float = 0.5, mask: str = MASK) -> DataFrame:
-    """docs, all columns, with each secret of the text replaced by the mask; texts without secrets stay as they are."""
-    d = scanned(docs, forest, threshold)
+    """docs, all columns, with each secret of the text replaced by the mask; texts without secrets stay as they are, null
+    and empty ones too. Rows are handled alone: repeated rows stay repeated, long texts are scanned whole. Other columns
+    may have any names; an empty table gives an empty result."""
+    d = scanned(docs.select(F.struct("*").alias("_row"), F.col("text").cast("string").alias("text")), forest, threshold)
     said = F.transform("_hits", lambda h: F.when(h["secret"], F.lit(mask)).otherwise(h["candidate"]))
     whole = F.array_join(F.transform("_gaps", lambda g, i: F.concat(g, F.coalesce(F.get(said, i), F.lit("")))), "")
-    return d.withColumn("text", F.when(F.exists("_hits", lambda h: h["secret"]), whole).otherwise(F.col("text"))).select(*docs.columns)
+    return d.select(F.col("_row").withField("text", F.when(F.exists("_hits", lambda h: h["secret"]), whole).otherwise(F.col("text"))).alias("_row")).select("_row.*")

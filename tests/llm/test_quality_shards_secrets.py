@@ -148,3 +148,9 @@ def test_values_after_secret_words(spark, forest):
     assert [r.text for r in S.masked(docs, forest).orderBy("doc_id").collect()] == [v or k for k, v in texts.items()]
     found = [(r.doc_id, r.start, r.length, r.candidate) for r in S.findings(docs, forest).where("secret").orderBy("doc_id").collect()]
     assert found == [(0, 11, 7, "hunter2"), (1, 11, 11, "Tr0ub4dor&3"), (2, 4, 11, "Tr0ub4dor&3"), (3, 9, 12, "qwkzjxvbnmpl"), (4, 22, 6, "abcXYZ")]
+
+
+def test_masked_keeps_other_columns(spark, forest):
+    docs = spark.createDataFrame([(1, "g", "password = hunter2", "h", 5), (1, "g", None, "h", 6)], "doc_id long, _gaps string, text string, _hits string, `c.d` int")
+    got = S.masked(docs, forest)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=lambda r: r[4]) == [(1, "g", "password = [SECRET]", "h", 5), (1, "g", None, "h", 6)]
