@@ -57,3 +57,26 @@ def test_odd_tables(spark):
     rows = [(None, "a b c d e f"), (None, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f"), (3, "A b c d e f"), (4, None), (4, "x" * 300000)]
     got = sorted(map(str, (tuple(r) for r in near_duplicates(spark.createDataFrame(rows, schema)).collect())))
     assert got == sorted(map(str, [(None, 2, None, True), (None, 2, None, True), (2, 2, 2, True), (2, 2, 2, True), (3, 2, 2, False), (4, 0, 4, True), (4, 1, 4, True)]))
+
+
+def test_large_family(spark):
+    """Over a thousand copies of one text with edits, many at the border of the similarity, a passage that all others
+    quote, and copies of an edited copy: the same components as by brute force."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base, passage = [word() for _ in range(110)], [word() for _ in range(25)]
+    branch = [w if i % 14 else word() for i, w in enumerate(base)]
+    texts = []
+    for k in range(1100):
+        t = list(branch if k % 5 == 0 else base)
+        for _ in range(rng.choice([0, 1, 2, 3, 3, 4, 4])):
+            t[rng.randrange(len(t))] = word()
+        texts.append(t[: rng.choice([110, 110, 110, 100, 92])])
+    texts += [[word() for _ in range(60)] + passage for _ in range(150)]
+    rows = [(i + 1, " ".join(t), 1, "x") for i, t in enumerate(texts)]
+    rng.shuffle(rows)
+    compared(spark, rows, NearDup(shingle=3, num=85))
+
+
+def test_exact_way(spark):
+    compared(spark, families(5), NearDup(shingle=3, num=85, k=None))

@@ -79,3 +79,12 @@ def test_run_and_odd_tables(spark, stages, small, tmp_path):
         for _, f in P.STAGES:
             docs = f(spark, docs, str(tmp_path))
         docs.collect()
+
+
+def test_near_duplicates_goes_by_rows(spark, tmp_path):
+    t, u = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    rows = [(1, t, 1), (4, t, 2), (4, u, 3), (None, t, 4), (6, None, 5), (7, u + " x", 6), (1, t, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `c.d` int")
+    got = P.near_duplicates(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    assert sorted(r["c.d"] for r in got.collect()) == [1, 3, 4, 5, 7]
