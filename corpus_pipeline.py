@@ -1,7 +1,9 @@
 """The corpus pipeline: documents to token digests, in stages that each call one operator.
 
-Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and returns all columns of documents
-(the last: token counts and digests). Between stages rows are written and read again, so a lost executor costs at most
+Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and returns all columns of documents, of
+any names (the last: token counts and digests). Null doc_ids are kept and never compared; null and empty texts, and texts
+without words, fail the base quality rules and go with the first stage; long texts are read whole; rows that come again
+share the fate of the first; an empty table gives an empty result. Between stages rows are written and read again, so a lost executor costs at most
 the stage under way.
 """
 
@@ -43,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked; the document stays."""
     out = secret_forest.masked(docs, secret_forest.default_forest(spark))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
