@@ -40,12 +40,12 @@ def output_text(payload: Column) -> Column:
     """The text of a model's JSON response: ``output_text``; else the texts of ``output[].content[]``, a line each; else
     the message of the first choice, a text or a list of texts. Empty if there is none."""
     value = F.try_parse_json(payload)
-    parts = "array<struct<text:string>>"
-    outer = F.from_json(F.get_json_object(payload, "$.output"), f"array<struct<content:{parts}>>")
-    blocks = F.flatten(F.filter(F.transform(outer, lambda o: o["content"]), lambda c: c.isNotNull()))
-    texts = F.filter(F.transform(blocks, lambda c: c["text"]), lambda t: F.trim(t) != "")
+    listed_in = lambda v, path: F.try_variant_get(v, path, "array<variant>")
+    texts_of = lambda a: F.transform(a, lambda c: _typed(c, "$.text", "STRING"))
+    blocks = F.flatten(F.filter(F.transform(listed_in(value, "$.output"), lambda o: listed_in(o, "$.content")), lambda c: c.isNotNull()))
+    texts = F.filter(texts_of(blocks), lambda t: F.trim(t) != "")
     message = "$.choices[0].message.content"
-    several = F.transform(F.filter(F.from_json(F.get_json_object(payload, message), parts), lambda c: c["text"].isNotNull()), lambda c: c["text"])
+    several = F.filter(texts_of(listed_in(value, message)), lambda t: t.isNotNull())
     clean = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
     listed = lambda a: F.when(F.size(a) > 0, clean(F.array_join(a, "\n")))
     first = clean(_typed(value, "$.output_text", "STRING"))
