@@ -4,8 +4,8 @@ Encoding: added tokens are cut out of the raw text, the rest is normalised (NFC,
 cut into words; a word becomes a doubly linked list of symbols, and a priority queue of (merge rank, position) joins
 neighbours, lowest rank and leftmost first. Queue entries whose pair has changed meanwhile are stale and skipped.
 Decoding: the vocabulary strings of the ids, concatenated with the decoder's separator (a space where the file names no
-decoder). Word results are memoised up to a bounded number of words. Characters that Unicode has assigned only since
-version 15.1 may fall into other words than in the library, whose tables are older.
+decoder). Word results are memoised up to a bounded number of words. Texts with characters that Python's Unicode tables do
+not know are normalised and cut into words by the library, whose tables are of another age; their symbols are joined here.
 """
 
 from __future__ import annotations
@@ -32,6 +32,17 @@ def byte_letters() -> list[str]:
     return [chr(b if b in own else next(rest)) for b in range(256)]
 
 
+@lru_cache(maxsize=1)
+def unassigned() -> str:
+    """A character class of all code points that have no character in Python's tables."""
+    ends = [0x80]
+    for c in range(0x80, 0x110000):
+        if (unicodedata.category(chr(c)) == "Cn") != (len(ends) % 2 == 0):
+            ends.append(c)
+    ends += [0x110000] * (len(ends) % 2 == 0)
+    return "[" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(ends[1::2], ends[2::2])) + "]"
+
+
 class WordBpe:
     """A codec for files with a Split pattern, byte letters and an end-of-word suffix."""
 
@@ -54,11 +65,23 @@ class WordBpe:
         self.strings = [b""] * (max([*self.vocab.values(), *self.added.values()]) + 1)
         for s, i in [*self.vocab.items(), *self.added.items()]:
             self.strings[i] = s.encode()
-        self.memo = Memo(self.word)
+        self.memo, self.path, self.library = Memo(self.word), path, None
+        self.unknown = re.compile(unassigned())
+
+    def _cut_by_library(self, text: str) -> bytes:
+        """The ids of a text whose words the library finds."""
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        words = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return b"".join(self.joined(list(w)) for w, _ in words)
 
     def word(self, word: str) -> bytes:
         """The ids of one word, as little-endian unsigned 32-bit integers."""
-        units = [self.letters[b] for b in word.encode()]
+        return self.joined([self.letters[b] for b in word.encode()])
+
+    def joined(self, units: list[str]) -> bytes:
         units[-1] += self.suffix
         return np.array(self.merge([self.vocab[u] for u in units]), "<u4").tobytes()
 
@@ -87,6 +110,8 @@ class WordBpe:
         for k, part in enumerate(parts):
             if k % 2:
                 out.append(np.array([self.added[part]], "<u4").tobytes())
+            elif part and not part.isascii() and self.unknown.search(part):
+                out.append(self._cut_by_library(part))
             elif part:
                 part = unicodedata.normalize("NFC", part)
                 # str.lower() turns a final capital sigma by its neighbours; character by character it does not

@@ -14,6 +14,7 @@ Files are named by attempt; only those in the manifest count, so a task that is
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -72,12 +73,21 @@ class Encoder:
         self.lib.no_padding()
         self.lib.no_truncation()
         self.model = self.lib.model
+        self._checked(json.loads(self.lib.to_str()))
         self.dtype = "<u2" if self.lib.get_vocab_size(with_added_tokens=True) <= 65536 else "<u4"
         self.words, self.beyond = re.compile(_latin(PATTERN)), re.compile("[^\\x00-\u02ff]")
         self.added = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.letters = str.maketrans(dict(enumerate(byte_letters())))
         self.memo = Memo(self.word)
 
+    @staticmethod
+    def _checked(said: dict) -> None:
+        """Raises for a tokenizer whose words are not those that this class cuts."""
+        cut = said.get("pre_tokenizer") or {}
+        plain = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+        if not plain or said.get("normalizer") is not None or said["model"].get("type") != "BPE":
+            raise ValueError("not a byte-level BPE tokenizer without normalizer and prefix space")
+
     def word(self, word: str) -> bytes:
         return self._packed(t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters)))
 
@@ -195,3 +205,53 @@ def read_records(files: TokenFiles) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["doc_id", "start", "n_tokens", "ids"])
 
     return spark.createDataFrame(starts, "name string, start long").repartition(len(starts), "name").mapInArrow(run, schema)
+
+
+def record_index(files: TokenFiles) -> DataFrame:
+    """part, name, number, at, size: where each record stands, from the index files."""
+    path = files.path
+    made = pa.schema([("part", pa.int32()), ("name", pa.string()), ("number", pa.int64()), ("at", pa.int64()), ("size", pa.int64())])
+
+    def run(batches):
+        store, base = fs.FileSystem.from_uri(path)
+        for b in batches:
+            for part, name in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                with store.open_input_stream(f"{base}/{name}.idx") as f:
+                    ends = np.frombuffer(f.read(), "<u8").astype(np.int64)
+                for lo in range(0, len(ends) - 1, 1 << 16):
+                    some = ends[lo : lo + (1 << 16) + 1]
+                    n = len(some) - 1
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part, np.int32)), pa.array([name] * n), pa.array(np.arange(lo, lo + n)), pa.array(some[:-1]), pa.array(np.diff(some))], schema=made)
+
+    return files.manifest.select("part", "name").mapInArrow(run, "part int, name string, number long, at long, size long")
+
+
+def read_shuffled(files: TokenFiles, seed: int) -> DataFrame:
+    """rank, doc_id, n_tokens, ids of all records in an order that depends on the seed alone: partitions are ranges of rank
+    and sorted by it. Offsets are shuffled, not records; each task then reads its records by their offsets, those of a
+    batch file by file."""
+    path = files.path
+
+    def run(batches):
+        store, base = fs.FileSystem.from_uri(path)
+        for b in batches:
+            ranks, names, ats, sizes = (b.column(i).to_pylist() for i in range(4))
+            rows = [None] * len(ranks)
+            for name in sorted(set(names)):
+                with store.open_input_file(f"{base}/{name}.rec") as f:
+                    head = f.read(8)
+                    if head[:5] != MAGIC + bytes([VERSION]):
+                        raise ValueError(f"{name}: not a records file of this version")
+                    for i in sorted((i for i, n in enumerate(names) if n == name), key=ats.__getitem__):
+                        f.seek(ats[i])
+                        payload, _ = unframe(f.read(sizes[i]), 0)
+                        doc_id, null = struct.unpack_from("<qB", payload)
+                        ids = np.frombuffer(payload, f"<u{head[5]}", offset=9)
+                        rows[i] = (None if null else doc_id, len(ids), ids.astype("<u4").tobytes())
+            columns = list(zip(*rows)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(v, t) for v, t in zip(columns, (pa.int64(), pa.int64(), pa.binary())))], names=["rank", "doc_id", "n_tokens", "ids"])
+
+    small_batches(files.manifest.sparkSession)
+    ranked = record_index(files).withColumn("rank", F.xxhash64(F.lit(seed), "part", "number"))
+    dealt = ranked.repartitionByRange("rank", "part", "number").sortWithinPartitions("rank", "part", "number")
+    return dealt.select("rank", "name", "at", "size").mapInArrow(run, "rank long, doc_id long, n_tokens long, ids binary")

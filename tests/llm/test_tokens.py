@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 import unicodedata
 import zlib
 
@@ -8,8 +9,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from loomgraph.llm.bpe_codec import WordBpe, digests, round_trip
-from loomgraph.llm.token_records import Encoder, frame, read_records, unframe, write_records
+from loomgraph.llm.bpe_codec import WordBpe, digests, round_trip, unassigned
+from loomgraph.llm.token_records import Encoder, frame, read_records, read_shuffled, unframe, write_records
 from loomgraph.llm.wordpiece_counts import Automaton, piece_sets, token_counts
 
 BYTE, WORD, PIECE = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
@@ -35,9 +36,8 @@ def test_word_bpe_equals_the_library(spark, small):
 def test_word_bpe_on_every_character_of_the_first_planes():
     lib, own = Tokenizer.from_file(WORD), WordBpe(WORD)
     odd = []
-    for lo in range(0, 0x3000):
-        if unicodedata.category(chr(lo)) == "Cn":  # not assigned yet: tables of different ages disagree
-            continue
+    assert re.findall(unassigned(), "".join(map(chr, range(0x110000)))) == [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"]
+    for lo in [*range(0, 0x3000), *range(0xA000, 0xD800, 7), *range(0xE000, 0x20000, 5), *range(0x20000, 0x110000, 997)]:
         t = f"a{chr(lo)}b {chr(lo)}1{chr(lo)}{chr(lo)}"
         if np.frombuffer(own.encode(t), "<u4").tolist() != lib.encode(t, add_special_tokens=False).ids:
             odd.append(hex(lo))
@@ -134,3 +134,20 @@ def test_counts_of_odd_texts(spark):
     got = {r.doc_id: r for r in token_counts(odd_table(spark), PIECE).collect() if r.doc_id}
     assert (got[1].n_words, got[1].n_tokens) == (0, 0)
     assert got[5].n_words >= 1
+
+
+def test_shuffled_reads(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame([(None, None)], "doc_id long, text string"))
+    files = write_records(docs, BYTE, 2)
+    order = [(r.doc_id, r.n_tokens, r.ids) for r in read_records(files).collect()]
+    one, again, other = ([(r.doc_id, r.n_tokens, r.ids) for r in read_shuffled(files, seed).collect()] for seed in (1, 1, 2))
+    assert one == again and one != other and one != order and sorted(map(str, one)) == sorted(map(str, order))
+    ranks = [r.rank for r in read_shuffled(files, 1).collect()]
+    assert ranks == sorted(ranks)
+    empty = write_records(docs.where("false"), BYTE, 2)
+    assert read_shuffled(empty, 1).count() == 0
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError):
+        Encoder(WORD)
