@@ -18,16 +18,20 @@ from pyspark.sql.window import Window
 from loomgraph.plans.scratch import cut
 
 #: Rows of a bucket, about: what one task numbers.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
+#: Buckets whose counts are summed up in one place: a power of two.
+SPAN = 1024
 
 
 def _numbered(rows: DataFrame, within: list[str], bucket: str, order: list[str]) -> DataFrame:
-    """rows with at (0-based rank within the group by bucket, then order) and n (rows of the group)."""
+    """rows with at (0-based rank within the group by bucket, then order) and n (rows of the group). Counts of buckets are
+    summed up within spans of buckets, and spans within the group, so that no group's buckets meet in one task."""
     keys = [*within, bucket]
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("c"))
-    group = Window.partitionBy(*within)
-    before = group.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, F.coalesce(F.sum("c").over(before), F.lit(0)).alias("base"), F.sum("c").over(group).alias("n"))
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("c")).withColumn("span", F.floor(F.col(bucket) / SPAN))
+    spans = counts.groupBy(*within, "span").agg(F.sum("c").alias("c"))
+    earlier = lambda over, by: F.coalesce(F.sum("c").over(Window.partitionBy(*over).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    spans = spans.select(*within, "span", earlier(within, "span").alias("above"), F.sum("c").over(Window.partitionBy(*within)).alias("n"))
+    offsets = counts.withColumn("base", earlier([*within, "span"], bucket)).join(spans, [*within, "span"]).select(*keys, (F.col("base") + F.col("above")).alias("base"), "n")
     at = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
     return rows.withColumn("at", at).join(offsets, keys).withColumn("at", F.col("at") + F.col("base")).drop("base")
 
@@ -37,7 +41,8 @@ def interleaved_shards(docs: DataFrame, shards: int = 40, seed: str = "interleav
 
     size is the UTF-8 bytes of the text plus 16, a null text has none; the law is ``rows``. Null sources are a source of
     their own. Ties of the seeded hash, as of repeated doc_ids, are ordered by doc_id, size and checksum; rows equal in
-    all of them are interchangeable. A null doc_id is hashed as an empty string. Extra columns are not read. An empty
+    all of them are interchangeable. A null doc_id is hashed as an empty string. Rows of one doc_id, or without one, are
+    numbered together: doc_ids are expected to tell documents apart. Extra columns are not read. An empty
     table gives an empty result; with fewer rows than shards some shards stay empty.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
