@@ -70,6 +70,21 @@ def slug(x: Column) -> Column:
     return arrow(f)(x)
 
 
+def is_whole(x: Column) -> Column:
+    """Whether it is a whole number with or without sign; null is none."""
+    return F.coalesce(x.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.lit(False))
+
+
+def real(x: Column) -> Column:
+    """A number, infinity or NaN; null for other texts."""
+    return strip(x.cast("string")).try_cast("double")
+
+
+def iso_day(x: Column) -> Column:
+    """A day written YYYY-MM-DD; null for other texts and days that are none."""
+    return F.when(x.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(x, "yyyy-MM-dd"))
+
+
 def tokens_estimated(x: Column) -> Column:
     """A third of the characters, rounded up, at least one."""
     return F.greatest(F.lit(1), F.expr("0") + F.floor((F.length(x) + 2) / 3)).cast("long")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,20 @@ def check_paths(source: str, target: str) -> None:
         raise ValueError("input and output are the same path")
 
 
+def replace_text(path: str, text: str, suffix: str = ".bak") -> str | None:
+    """Writes a local text file in place; what was there is kept beside it with a suffix, whose path is returned. A text
+    that is there already is not written again."""
+    if os.path.exists(path):
+        with open(path, encoding="utf-8", newline="") as f:
+            if f.read() == text:
+                return None
+        shutil.copy2(path, path + suffix)
+    with open(path + ".part", "w", encoding="utf-8", newline="") as f:
+        f.write(text)
+    os.replace(path + ".part", path)
+    return path + suffix if os.path.exists(path + suffix) else None
+
+
 def write_triples(triples: DataFrame, path: str, mode: str = "bag", one_file: bool = False) -> None:
     """Lines of triples: bag (as they come), set, or sorted (a set in line order, range-partitioned; one_file only for
     results that one task can hold)."""

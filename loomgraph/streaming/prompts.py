@@ -16,8 +16,11 @@ def prompts(spark: SparkSession, path: str, schema: str = PROMPT, file_format: s
     return rows.where(F.col("pub").isNotNull()) if "pub" in rows.columns else rows
 
 
-def first_seen(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The first row of each key over the life of the stream; the state is kept in the checkpoint."""
+def first_seen(rows: DataFrame, keys: list[str], time: str | None = None, within: str | None = None) -> DataFrame:
+    """The first row of each key; the state is kept in the checkpoint. Over the life of the stream it grows with the
+    different keys; with a time column and an interval, keys are forgotten once the watermark has passed it."""
+    if time and within:
+        return rows.withWatermark(time, within).dropDuplicatesWithinWatermark(keys)
     return rows.dropDuplicates(keys)
 
 

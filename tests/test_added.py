@@ -4,12 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomgraph.functions import identifiers as ids
-from loomgraph.functions import payloads
+from loomgraph.functions import payloads, text
 from loomgraph.operators import answers, cleaning, enrich, graph, ledger, people
 from loomgraph.plans import fetching
 from loomgraph.plans.scratch import checkpoint_dir
 from loomgraph.sources import bibtex_edit, sinks, tables
 from loomgraph.sources.bibtex import parse_bibtex, unique_keys
+from loomgraph.streaming import prompts
 
 S = "https://schema.org/"
 
@@ -208,3 +209,27 @@ def test_no_folder_of_one_machine_on_a_cluster(spark, monkeypatch):
     monkeypatch.setattr(Session, "conf", type("C", (), {"get": staticmethod(lambda *_: None)}))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session)
+
+
+def test_coercions(spark):
+    d = spark.createDataFrame([(i, x) for i, x in enumerate(["12", " -3 ", "1.5", "x", None, "2020-02-30", "2020-02-29", "inf", "nan"])], "i int, x string").orderBy("i")
+    got = d.select(text.is_whole(F.col("x")).alias("w"), text.real(F.col("x")).alias("r"), text.iso_day(F.col("x")).alias("d")).collect()
+    assert [r.w for r in got] == [True, True] + [False] * 7
+    assert [str(r.r) for r in got] == ["12.0", "-3.0", "1.5", "None", "None", "None", "None", "inf", "nan"]
+    assert [str(r.d) for r in got] == ["None"] * 6 + ["2020-02-29", "None", "None"]
+
+
+def test_files_in_place(tmp_path):
+    p = tmp_path / "a.bib"
+    p.write_text("old")
+    assert sinks.replace_text(str(p), "old") is None and sinks.replace_text(str(p), "new") == f"{p}.bak"
+    assert p.read_text() == "new" and (tmp_path / "a.bib.bak").read_text() == "old"
+
+
+def test_keys_are_forgotten_after_the_watermark(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    rows = prompts.first_seen(spark.readStream.schema("k string, at timestamp").json(str(tmp_path / "in")), ["k"], "at", "1 hour")
+    for n, day in enumerate(("2020-01-01T00:00:00", "2020-01-02T00:00:00", "2020-01-03T00:00:00", "2020-01-04T00:00:00")):
+        (tmp_path / "in" / f"{n}.json").write_text(json.dumps({"k": "a", "at": day}) + "\n" + json.dumps({"k": "a", "at": day}))
+        prompts.drained(rows, str(tmp_path / "out"), str(tmp_path / "ck"))
+    assert 2 <= spark.read.parquet(str(tmp_path / "out")).count() <= 4
