@@ -150,6 +150,12 @@ def openalex_institution(x: Column) -> Column:
     return F.when(out.rlike("^I[0-9]+$"), out)
 
 
+def openalex_author_endpoint(x: Column, service: str = "https://api.openalex.org/authors/") -> Column:
+    """The service address of an author's identifier or URL, null for nothing."""
+    tail = F.regexp_extract(F.regexp_replace(F.trim(x), "^/+|/+$", ""), "([^/]*)$", 1)
+    return F.when(x != "", F.concat(F.lit(service), tail))
+
+
 def dblp_pid(x: Column) -> Column:
     out = F.regexp_extract(x, "/pid/(.+?)(?:\\.html)?$", 1)
     return F.when(out != "", out)

@@ -21,10 +21,11 @@ def canonicalized(triples: DataFrame, base: str, prefix: str = "/id") -> DataFra
 
 def report(done: DataFrame) -> DataFrame:
     """external_iri, canonical_iri, count_subject_rewrites, count_object_rewrites, first_seen_line of canonicalized rows
-    (with line_no)."""
+    (with line_no). An external IRI with two canonical ones raises when it is read."""
     ends = F.array(F.struct(F.col("s").alias("external_iri"), F.col("new_s").alias("canonical_iri"), F.lit(1).alias("a"), F.lit(0).alias("b")), F.struct(F.col("o").alias("external_iri"), F.col("new_o").alias("canonical_iri"), F.lit(0).alias("a"), F.lit(1).alias("b")))
     rows = done.select("line_no", F.inline(ends)).where("external_iri <> canonical_iri")
-    return rows.groupBy("external_iri", "canonical_iri").agg(F.sum("a").cast("long").alias("count_subject_rewrites"), F.sum("b").cast("long").alias("count_object_rewrites"), F.min("line_no").alias("first_seen_line"))
+    one = F.when(F.min("canonical_iri") == F.max("canonical_iri"), F.min("canonical_iri")).otherwise(F.raise_error(F.concat(F.lit("two canonical IRIs of "), F.first("external_iri"))).cast("string"))
+    return rows.groupBy("external_iri").agg(one.alias("canonical_iri"), F.sum("a").cast("long").alias("count_subject_rewrites"), F.sum("b").cast("long").alias("count_object_rewrites"), F.min("line_no").alias("first_seen_line"))
 
 
 def same_as(rows: DataFrame) -> DataFrame:

@@ -38,6 +38,14 @@ def shared_object(statements: DataFrame) -> DataFrame:
     return _pairs(seen, "key", (F.col("l.at") < F.col("r.at")) | ((F.col("l.at") == F.col("r.at")) & (F.col("l.u") < F.col("r.u"))))
 
 
+def classes(rows: DataFrame, key: str, uri: str = "uri") -> DataFrame:
+    """uri, first, n: which rows share a key, without pairs: each uri with the smallest of its class and the class's size,
+    so its links are n - 1. Classes of one are left out; the rows grow with the uris, not with the square of a class."""
+    each = rows.where(F.col(key).isNotNull()).select(key, F.col(uri).alias("uri")).distinct()
+    size = each.groupBy(key).agg(F.min("uri").alias("first"), F.count("*").alias("n")).where("n > 1")
+    return each.join(size, key).select("uri", key, "first", "n")
+
+
 def _pairs(rows: DataFrame, key: str, before: Column) -> DataFrame:
     many = rows.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key)
     rows = rows.join(many, key, "left_semi")

@@ -29,10 +29,12 @@ def publication_facts(rows: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def preferred_pdfs(rows: DataFrame) -> DataFrame:
-    """pub, pdf_url: the first address that looks like a PDF, else the first (rows: line_no, pub, pdf_url)."""
+def preferred_pdfs(rows: DataFrame, limit: int = 0) -> DataFrame:
+    """pub, pdf_url: the first address that looks like a PDF, else the first (rows: line_no, pub, pdf_url); of the first
+    publications only, in order of their first line, if a limit is given."""
     good = rows.where(F.col("pdf_url").rlike("^https?://")).withColumn("_plain", ~F.lower("pdf_url").rlike(r"\.pdf($|[?#])|/pdf(/|$)"))
-    return good.groupBy("pub").agg(F.min_by("pdf_url", F.struct("_plain", "line_no")).alias("pdf_url"))
+    best = good.groupBy("pub").agg(F.min_by("pdf_url", F.struct("_plain", "line_no")).alias("pdf_url"), F.min("line_no").alias("_at"))
+    return (best.orderBy("_at", "pub").limit(limit) if limit else best).drop("_at")
 
 
 def picked_publication(hits: DataFrame, at_least: float = 0.80) -> DataFrame:

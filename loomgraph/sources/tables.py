@@ -99,6 +99,12 @@ def read_key_values(spark: SparkSession, path: str, table: str = "cache") -> Dat
     return spark.createDataFrame(rows, "k string, v string, t long")
 
 
+def migrated_cache(spark: SparkSession, path: str, target: str) -> DataFrame:
+    """A JSON cache (see read_json_cache) written as a Parquet table of k, v, t; newer rows are merged by enrich.upserted."""
+    read_json_cache(spark, path).write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)
+
+
 def read_json_cache(spark: SparkSession, path: str) -> DataFrame:
     """k, v, t of a JSON file with one object; a damaged file is empty, another value than an object raises."""
     try:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.functions import identifiers as ids
 from loomgraph.functions import payloads, text
-from loomgraph.operators import answers, cleaning, enrich, graph, ledger, people
+from loomgraph.operators import answers, canonical, cleaning, enrich, graph, ledger, linking, people, publications
 from loomgraph.plans import fetching
 from loomgraph.plans.scratch import checkpoint_dir
 from loomgraph.sources import bibtex_edit, sinks, tables
@@ -233,3 +233,18 @@ def test_keys_are_forgotten_after_the_watermark(spark, tmp_path):
         (tmp_path / "in" / f"{n}.json").write_text(json.dumps({"k": "a", "at": day}) + "\n" + json.dumps({"k": "a", "at": day}))
         prompts.drained(rows, str(tmp_path / "out"), str(tmp_path / "ck"))
     assert 2 <= spark.read.parquet(str(tmp_path / "out")).count() <= 4
+
+
+def test_classes_and_limits(spark, tmp_path):
+    e = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "x"), ("d", "y"), ("e", None), ("a", "x")], "uri string, label string")
+    assert rows(linking.classes(e, "label")) == [("a", "x", "a", 3), ("b", "x", "a", 3), ("c", "x", "a", 3)]
+    p = spark.createDataFrame([(1, "u", "http://a/x"), (2, "u", "http://a/x.pdf"), (3, "v", "http://b/x"), (4, "w", "ftp://c"), (5, "z", "http://d")], "line_no int, pub string, pdf_url string")
+    assert rows(publications.preferred_pdfs(p)) == [("u", "http://a/x.pdf"), ("v", "http://b/x"), ("z", "http://d")]
+    assert rows(publications.preferred_pdfs(p, 1)) == [("u", "http://a/x.pdf")]
+    (tmp_path / "c.json").write_text('{"k": {"x": 1}}')
+    assert rows(tables.migrated_cache(spark, str(tmp_path / "c.json"), str(tmp_path / "kv"))) == [("k", '{"x": 1}', 0)]
+    bad = spark.createDataFrame([(1, "http://e/1", "c1", "x", "x"), (2, "http://e/1", "c2", "x", "x")], "line_no int, s string, new_s string, o string, new_o string")
+    with pytest.raises(Exception, match="two canonical"):
+        canonical.report(bad).collect()
+    d = spark.createDataFrame([("https://openalex.org/A1/",), ("A2",), ("",)], "x string")
+    assert [r.y for r in d.select(ids.openalex_author_endpoint(F.col("x")).alias("y")).collect()] == ["https://api.openalex.org/authors/A1", "https://api.openalex.org/authors/A2", None]
