@@ -46,12 +46,24 @@ def folder(spark: SparkSession, label: str) -> str:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: compressed, and later reads prune columns.
 
-    The folder is left to the cluster's retention of its checkpoint directory, as lazily read results depend on it.
+    Where lazily read results depend on it, the folder is left to the cluster's retention of its checkpoint directory;
+    what nothing reads any more goes by :func:`discard`.
     """
     spark = df.sparkSession
     path = folder(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes the files of stored tables that no plan will read again; other tables are left alone."""
+    for df in tables:
+        if path := getattr(df, "_stored_at", None):
+            context = df.sparkSession.sparkContext
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def release(spark: SparkSession) -> None:

@@ -7,7 +7,7 @@ from loomgraph.functions import identifiers as ids
 from loomgraph.functions import payloads, text
 from loomgraph.operators import answers, canonical, cleaning, enrich, graph, ledger, linking, people, publications
 from loomgraph.plans import fetching
-from loomgraph.plans.scratch import checkpoint_dir
+from loomgraph.plans.scratch import checkpoint_dir, discard, stored
 from loomgraph.sources import bibtex_edit, sinks, tables
 from loomgraph.sources.bibtex import parse_bibtex, unique_keys
 from loomgraph.streaming import prompts
@@ -248,3 +248,13 @@ def test_classes_and_limits(spark, tmp_path):
         canonical.report(bad).collect()
     d = spark.createDataFrame([("https://openalex.org/A1/",), ("A2",), ("",)], "x string")
     assert [r.y for r in d.select(ids.openalex_author_endpoint(F.col("x")).alias("y")).collect()] == ["https://api.openalex.org/authors/A1", "https://api.openalex.org/authors/A2", None]
+
+
+def test_stored_tables_go_when_discarded(spark):
+    import os
+
+    t = stored(spark.range(5).toDF("x"), "test")
+    place = t._stored_at.removeprefix("file://")
+    assert t.count() == 5 and os.path.isdir(place)
+    discard(t, spark.range(1))
+    assert not os.path.exists(place)
