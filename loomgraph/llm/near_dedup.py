@@ -42,7 +42,7 @@ from pyspark.sql.window import Window
 
 from loomgraph.llm.batches import Memo, small_batches
 from loomgraph.operators.components import connected_components
-from loomgraph.plans.scratch import cut, release, short_shuffles, stored
+from loomgraph.plans.scratch import cut, discard, release, short_shuffles, stored
 
 
 @dataclass(frozen=True)
@@ -338,6 +338,7 @@ def class_components(docs: DataFrame, nodes: DataFrame, p: NearDup) -> DataFrame
     other = rows.join(most, "v", "left").where("not (h <=> most) or h is null").select("v", F.col("rep").alias("x"), F.col("c").alias("cx"), F.col("h").alias("hx"))
     by_list = other.join(rows.select("v", F.col("rep").alias("y"), "c", "h"), "v").where("x <> y and cx <> c and (hx is null or h is null or hx <> h)").select("x", "y")
     links.join(links.by_sets(by_list).unionByName(links.by_deltas(by_rest.unionByName(_lacking(members, links, p)), deltas)))
+    discard(lists, sets, near, hubbed, members)  # the labels are cut from them
     return links.labels
 
 
