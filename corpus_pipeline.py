@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.llm import bpe_codec, near_dedup, quality_divergence, secret_forest, winnowing
-from loomgraph.plans.scratch import stored
+from loomgraph.plans.scratch import discard, stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,5 +63,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     *steps, last = [partial(f, spark, sf_dir=sf_dir) for _, f in STAGES]
     for (name, _), step in zip(STAGES, steps):
-        docs = stored(step(docs=docs), f"pipeline-{name}")
+        before, docs = docs, stored(step(docs=docs), f"pipeline-{name}")
+        discard(before)  # the stage's result is written: nothing reads its input again
     return last(docs=docs)
