@@ -73,14 +73,23 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+#: Least bytes that a task of a chain of small jobs is given, so that its tables are few files.
+CHAIN_BYTES = 32 << 20
+
+
 @contextlib.contextmanager
 def short_shuffles(spark: SparkSession) -> Iterator[None]:
     """Inside, a query's shuffle files go when the query has ended. Chains of jobs that cut their lineage by tables and
-    checkpoints never read them again; where a plan is run a second time, Spark computes them anew."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    was = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
+    checkpoints never read them again; where a plan is run a second time, Spark computes them anew. Adaptive partitions
+    hold ``CHAIN_BYTES`` or more."""
+    parsed = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    advised = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    wanted = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", advised: str(max(CHAIN_BYTES, parsed(spark.conf.get(advised))))}
+    was = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(key) if was is None else spark.conf.set(key, was)
+        for key, value in was.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
