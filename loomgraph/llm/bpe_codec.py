@@ -65,7 +65,7 @@ class WordBpe:
         self.strings = [b""] * (max([*self.vocab.values(), *self.added.values()]) + 1)
         for s, i in [*self.vocab.items(), *self.added.items()]:
             self.strings[i] = s.encode()
-        self.memo, self.path, self.library = Memo(self.word), path, None
+        self.memo, self.path, self.library = Memo(self.word, 100_000), path, None
         self.unknown = re.compile(unassigned())
 
     def _cut_by_library(self, text: str) -> bytes:
