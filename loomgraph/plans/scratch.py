@@ -81,10 +81,10 @@ CHAIN_BYTES = 32 << 20
 def short_shuffles(spark: SparkSession) -> Iterator[None]:
     """Inside, a query's shuffle files go when the query has ended. Chains of jobs that cut their lineage by tables and
     checkpoints never read them again; where a plan is run a second time, Spark computes them anew. Adaptive partitions
-    hold ``CHAIN_BYTES`` or more."""
+    hold ``CHAIN_BYTES`` or more. Descriptions of plans are short: the driver makes one for every change of every plan."""
     parsed = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
     advised = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    wanted = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", advised: str(max(CHAIN_BYTES, parsed(spark.conf.get(advised))))}
+    wanted = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", advised: str(max(CHAIN_BYTES, parsed(spark.conf.get(advised)))), "spark.sql.ui.explainMode": "simple", "spark.sql.maxPlanStringLength": "4096"}
     was = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
