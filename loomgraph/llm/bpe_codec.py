@@ -66,7 +66,8 @@ class WordBpe:
         for s, i in [*self.vocab.items(), *self.added.items()]:
             self.strings[i] = s.encode()
         self.memo, self.path, self.library = Memo(self.word), path, None
-        self.unknown = re.compile(unassigned())
+        # below U+0378 every code point is assigned: most texts need only the first, quick look
+        self.beyond, self.unknown = re.compile("[^\x00-\u0377]"), re.compile(unassigned())
 
     def _cut_by_library(self, text: str) -> bytes:
         """The ids of a text whose words the library finds."""
@@ -110,7 +111,7 @@ class WordBpe:
         for k, part in enumerate(parts):
             if k % 2:
                 out.append(np.array([self.added[part]], "<u4").tobytes())
-            elif part and not part.isascii() and self.unknown.search(part):
+            elif part and (m := self.beyond.search(part)) and self.unknown.search(part, m.start()):
                 out.append(self._cut_by_library(part))
             elif part:
                 part = unicodedata.normalize("NFC", part)
