@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import gc
+
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 #: Rows and bytes that an Arrow batch of whole texts holds at most.
@@ -20,7 +24,7 @@ def small_batches(spark: SparkSession, rows: int = TEXT_ROWS, most: int = TEXT_B
 
 class Memo(dict):
     """Results of ``make`` by word, in two generations of ``most`` words: the older one is dropped, so that memory is
-    bounded and frequent words stay. Words over 64 characters are not kept. One memo lives as long as its Python worker."""
+    bounded and frequent words stay. Words over 64 characters are not kept. See :func:`held` for how long one lives."""
 
     def __init__(self, make, most: int = 250_000):
         super().__init__()
@@ -36,3 +40,24 @@ class Memo(dict):
                 self.clear()
             self[word] = value
         return value
+
+
+_now: dict = {}
+
+
+def held(make):
+    """Like ``lru_cache(maxsize=1)``, but with one result for all functions so decorated: a Python worker runs one operator
+    after the other, and keeps the vocabulary and memo of the last one only."""
+
+    @functools.wraps(make)
+    def of(*args):
+        key = make, args
+        if key not in _now:
+            if _now:
+                _now.clear()
+                gc.collect()  # memos and what fills them refer to each other
+                pa.default_memory_pool().release_unused()
+            _now[key] = make(*args)
+        return _now[key]
+
+    return of

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.batches import Memo, small_batches
+from loomgraph.llm.batches import Memo, held, small_batches
 
 
 def byte_letters() -> list[str]:
@@ -124,7 +124,7 @@ class WordBpe:
         return b" ".join(map(self.strings.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=1)
+@held
 def codec_of(path: str) -> WordBpe:
     return WordBpe(path)
 

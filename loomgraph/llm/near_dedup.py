@@ -30,7 +30,6 @@ Components are contracted over what is already known: a pass runs the star algor
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
 from math import comb
 
 import numpy as np
@@ -40,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomgraph.llm.batches import Memo, small_batches
+from loomgraph.llm.batches import Memo, held, small_batches
 from loomgraph.operators.components import connected_components
 from loomgraph.plans.scratch import cut, discard, release, short_shuffles, stored
 
@@ -89,7 +88,7 @@ class Shingler:
         return np.unique(out.view(np.int64))
 
 
-@lru_cache(maxsize=2)
+@held
 def shingler(width: int) -> Shingler:
     return Shingler(width)
 

@@ -21,7 +21,6 @@ import struct
 import uuid
 import zlib
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.batches import TEXT_ROWS, Memo, small_batches
+from loomgraph.llm.batches import TEXT_ROWS, Memo, held, small_batches
 from loomgraph.llm.bpe_codec import byte_letters
 from loomgraph.plans.scratch import folder, stored
 
@@ -110,7 +109,7 @@ def _latin(pattern: str) -> str:
     return re.sub(r"\\p\{[LN]\}|\\[sS](?=[+)])", lambda m: f"[{listed[m[0]]}]", inside)
 
 
-@lru_cache(maxsize=1)
+@held
 def encoder_of(path: str) -> Encoder:
     return Encoder(path)
 

@@ -15,7 +15,6 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.batches import Memo, small_batches
+from loomgraph.llm.batches import Memo, held, small_batches
 from loomgraph.plans.scratch import stored
 
 #: Lower-cases A-Z and turns every byte that is no word byte (words: digits, letters, all bytes from \x80 on) into a space.
@@ -46,7 +45,7 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_TABLE).split()
 
 
-@lru_cache(maxsize=1)
+@held
 def _memo() -> Memo:
     return Memo(xxhash.xxh3_64_intdigest)
 

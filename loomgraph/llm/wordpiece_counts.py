@@ -9,13 +9,12 @@ pieces in linear time, without building a piece.
 from __future__ import annotations
 
 from collections import deque
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.batches import Memo, small_batches
+from loomgraph.llm.batches import Memo, held, small_batches
 
 
 class Automaton:
@@ -72,7 +71,7 @@ def piece_sets(model_file: str) -> tuple[set[str], set[str]]:
     return {p[1:] for p in own if p[0] == "▁" and len(p) > 1}, {p for p in own if p[0] != "▁"}
 
 
-@lru_cache(maxsize=1)
+@held
 def memo_of(model_file: str) -> Memo:
     """Piece counts by word in UTF-8."""
     automaton = Automaton(*piece_sets(model_file))
