@@ -12,6 +12,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 _own: list[str] = []
@@ -71,6 +72,22 @@ def release(spark: SparkSession) -> None:
     driver happens to collect its garbage, which in a long chain of small jobs may be never."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    trimmed(spark)
+
+
+def trimmed(spark: SparkSession) -> str | None:
+    """Has the driver's JVM return freed native memory to the system: its C library keeps that of each of the hundreds of
+    threads that exchanges start. What the JVM says of it; None where it cannot (other C libraries, older releases)."""
+    context = spark.sparkContext
+    jvm, new = context._jvm, context._gateway.new_array
+    call = new(jvm.Object, 4)
+    call[0], call[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+    call[2], call[3] = new(jvm.Object, 0), new(jvm.String, 0)
+    try:  # by the interface: the server's class is not exported
+        (invoke,) = (m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+        return invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), call)
+    except Py4JError:
+        return None
 
 
 #: Least bytes that a task of a chain of small jobs is given, so that its tables are few files.
