@@ -126,8 +126,12 @@ def markup_resolved(text: str, breaks: bool = True) -> str:
     return Markup(text, breaks).resolved()
 
 
-def entities_decoded(x: Column) -> Column:
-    """HTML entities as characters, backslashes before them dropped; texts without an ampersand stay in the JVM."""
+def entities_decoded(x: Column, only: str | None = None) -> Column:
+    """HTML entities as characters, backslashes before them dropped; texts without an ampersand stay in the JVM.
+    only: one entity as it is written, semicolon and all; it alone is decoded, once, and everything else stays, backslashes
+    and entities without their end too. That needs no Python."""
+    if only is not None:
+        return F.replace(x, F.lit(only), F.lit(html.unescape(only)))
     f = arrow(lambda t: html.unescape(re.sub(r"\\+(?=&(?:#\d+|#x[0-9A-Fa-f]+|[A-Za-z]+);)", "", t)))
     return F.when(F.contains(x, F.lit("&")), f(F.when(F.contains(x, F.lit("&")), x))).otherwise(x)
 
