@@ -32,6 +32,18 @@ def same_label(entities: DataFrame, mode: str = "canonical") -> DataFrame:
     return _pairs(rows.withColumnRenamed("uri", "u"), "label", F.col("l.u") < F.col("r.u"))
 
 
+def joining(entities: DataFrame, threshold: float) -> DataFrame:
+    """Links (u1, u2, conf), fewer than entities, that join at threshold what all pairs u1 < u2 of a label with the conf of u1
+    join, and name the same uris: of those pairs, each uri keeps the one with the smallest uri of its label that reaches
+    threshold, or, up to that one, with the smallest of all. entities have uri, label, conf; rows without label or uri are left out."""
+    own = F.struct("uri", "conf")
+    reach = F.min(F.when(F.col("conf") >= threshold, own)).alias("_reach")
+    ends = entities.where("label is not null and uri is not null").groupBy("label").agg(F.min(own).alias("_low"), F.max("uri").alias("_high"), reach)
+    rows = entities.select("uri", "label").join(ends.where("_low.uri < _high"), "label")
+    to = F.when(F.col("uri") > F.col("_reach.uri"), F.col("_reach")).otherwise(F.col("_low"))
+    return rows.select(to["uri"].alias("u1"), F.col("uri").alias("u2"), to["conf"].alias("conf")).where("u1 <> u2")
+
+
 def shared_object(statements: DataFrame) -> DataFrame:
     """Links of subjects (s, key, line_no) that share an object key; the one seen first is u1."""
     seen = statements.where("key is not null").groupBy("key", F.col("s").alias("u")).agg(F.min("line_no").alias("at"))

@@ -1,9 +1,15 @@
 """Registered queries against their SQL on small odd tables."""
 
+import random
+
 import duckdb
+import pytest
 
+from loomgraph.operators import linking
 from loomgraph.plans import queries
 
+PART = "p_partkey long, p_name string, p_brand string, p_size int"
+
 
 def both(spark, tmp_path, name, table, data, schema):
     """The rows of a query and of its SQL over one table, as sorted lists."""
@@ -22,3 +28,36 @@ def test_titles_keep_what_the_sql_keeps(spark, tmp_path):
     mine, want = both(spark, tmp_path, "q20_entities", "pages", data, "page_id long, html string")
     assert mine == want and len(mine) == len(data)
     assert dict(mine)[0] == "a & b" and dict(mine)[1] == "cut &amp"
+
+
+def odd_parts():
+    rng = random.Random(3)
+    rows = [(k, rng.choice(["tin", "tin|a", None]), rng.choice(["a", "a|a", None]), rng.choice([1, 24, 25, 50, None])) for k in rng.sample(range(2000), 60)]
+    low = [(k, "low", "b", 1) for k in (3000, 3001, 3002)]
+    split = [(4000 + k, f"w{k % 3}", "b", s) for k, s in enumerate([1, 50, 1, 30, 1, 1, 1, 2, 25])]
+    again = [(5000, "x", "c", 1), (5000, "x", "c", 50), (5001, "x", "c", 2), (5000, "y", "c", 50), (5002, "y", "c", 1), (-7, "y", "c", 1)]
+    return rows + low + split + again + [(6000, "single", "d", 50), (6001, "single", "d", 50), (6001, "single", "d", 50), (None, "x", "c", 50), (7000, "alone", "d", 50)]
+
+
+def test_components_equal_the_sql_on_odd_parts(spark, tmp_path):
+    mine, want = both(spark, tmp_path, "q10_components", "part", odd_parts(), PART)
+    assert mine == want and len(mine) > 20
+
+
+@pytest.mark.parametrize("threshold", [0.0, 0.3, 0.7, 2.0])
+def test_joining_links_are_pairs_with_the_same_mapping(spark, threshold):
+    rng = random.Random(str(threshold))
+    entities = [(f"u{rng.randrange(60)}", rng.choice(["a", "b", "c", None]), rng.choice([0.1, 0.3, 0.5, 0.7, 0.9, None])) for _ in range(80)] + [(None, "a", 0.9)]
+    df = spark.createDataFrame(entities, "uri string, label string, conf double")
+    links = {tuple(r) for r in linking.joining(df, threshold).collect()}
+    pairs = {(u, v, c) for u, a, c in entities for v, b, _ in entities if u and v and a and a == b and u < v}
+    assert links <= pairs and len(links) < len(entities)
+    got, want = ({tuple(r) for r in linking.mapping(spark.createDataFrame(sorted(x, key=str), linking.LINK), threshold).collect()} for x in (links, pairs))
+    assert got == want
+
+
+def test_links_of_large_classes_grow_with_the_parts(spark, tmp_path, monkeypatch):
+    made, components = [], linking.connected_components
+    monkeypatch.setattr(linking, "connected_components", lambda links, *a: made.append(links.count()) or components(links, *a))
+    mine, want = both(spark, tmp_path, "q10_components", "part", [(k, "tin", "a", 1 + k % 50) for k in range(400)], PART)
+    assert mine == want and len(mine) == 400 and made[0] < 400
