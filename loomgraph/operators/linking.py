@@ -81,12 +81,14 @@ def mapping(links: DataFrame, threshold: float = 0.7) -> DataFrame:
 
 
 def rewritten_by(triples: DataFrame, old_new: DataFrame) -> DataFrame:
-    """triples with mapped subjects and IRI objects replaced; predicates stay."""
+    """triples with mapped subjects and IRI objects replaced; predicates stay. Only IRIs are dealt out by their object."""
     changed = old_new.where("old <> canonical")
     s = changed.select(F.col("old").alias("s"), F.col("canonical").alias("_s"))
-    o = changed.select(F.col("old").alias("o"), F.col("canonical").alias("_o"), F.lit("iri").alias("o_kind"))
-    out = triples.join(s, "s", "left").join(o, ["o", "o_kind"], "left")
-    return out.withColumn("s", F.coalesce("_s", "s")).withColumn("o", F.coalesce("_o", "o")).select(*triples.columns)
+    o = changed.select(F.col("old").alias("o"), F.col("canonical").alias("_o"))
+    out = triples.join(s, "s", "left").withColumn("s", F.coalesce("_s", "s")).select(*triples.columns)
+    iri = F.coalesce(F.col("o_kind") == "iri", F.lit(False))
+    named = out.where(iri).join(o, "o", "left").withColumn("o", F.coalesce("_o", "o")).select(*triples.columns)
+    return named.unionByName(out.where(~iri))
 
 
 def read_links(lines: DataFrame) -> DataFrame:
